@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality_rules, toxicity, url_filters
+from . import chat_format, html_extract, quality_rules, secret_scan, toxicity, url_filters
 
 QUERIES = {
+    "op2_chat_format": chat_format.op2_chat_format,
     "op5_url_filters": url_filters.op5_url_filters,
+    "op6_secret_scan": secret_scan.op6_secret_scan,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_html_extract": html_extract.op8_html_extract,
     "op10_toxicity": toxicity.op10_toxicity,
 }
-ORACLE_SQL = {**url_filters.ORACLE_SQL}
+ORACLE_SQL = {**chat_format.ORACLE_SQL, **url_filters.ORACLE_SQL}
