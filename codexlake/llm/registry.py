@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_format, html_extract, quality_rules, secret_scan, toxicity, url_filters
+from . import chat_format, decontaminate, html_extract, packing, quality_rules, secret_scan, toxicity, url_filters
 
 QUERIES = {
     "op2_chat_format": chat_format.op2_chat_format,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_packing": packing.op4_packing,
     "op5_url_filters": url_filters.op5_url_filters,
     "op6_secret_scan": secret_scan.op6_secret_scan,
     "op7_quality_rules": quality_rules.op7_quality_rules,
