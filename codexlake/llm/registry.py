@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, packing, quality_rules, secret_scan, toxicity, url_filters
+from . import chat_format, decontaminate, html_extract, packing, quality_classifier, quality_rules, secret_scan, toxicity, url_filters
 
 QUERIES = {
     "op2_chat_format": chat_format.op2_chat_format,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_secret_scan": secret_scan.op6_secret_scan,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_html_extract": html_extract.op8_html_extract,
+    "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE_SQL = {**chat_format.ORACLE_SQL, **url_filters.ORACLE_SQL}
