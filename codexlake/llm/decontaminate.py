@@ -18,85 +18,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import WORD, table, written
+from ._common import table, written
 
 WINDOW, LEAST_LITERAL, SHARE = 8, 4, 0.25
 #: The benchmark's windows are broadcast up to this many rows (about 40 bytes each), else the join is shuffled.
 BROADCAST_ROWS = 500_000
 # Units of measure.
 UNITS = "mm cm m km in ft yd mi mg g kg lb oz t ml cl l gal s sec min h hr hrs ms day days week weeks month months year years hour hours minute minutes second seconds meter meters metre metres kilometer kilometers mile miles inch inches foot feet gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres percent usd eur gbp dollar dollars euro euros cent cents kb mb gb tb hz khz mhz ghz w kw kwh v mv a ma j kj cal kcal k c f mph kph"
-NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({WORD})"), 1)
+#: Private-use characters that stand for placeholders inside canonical texts.
+_NAME, _NUMBER, _UNIT = "\ue001", "\ue002", "\ue003"
+_MARKS = f"{_NAME}{_NUMBER}{_UNIT}"
 
 
-def bare(word: Column) -> Column:
-    """Lower case without outer punctuation; a word of punctuation alone is empty."""
-    return F.lower(F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+def bare(text: Column) -> Column:
+    """Lower-case words of letters and digits, apart by white space."""
+    return F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{N}}\s{_MARKS}]+", "")
 
 
-def canonical(ws: Column) -> Column:
-    """array of struct(bare, canon) of words with a letter or digit; canon is the word or its placeholder.
+def canonical(text: Column) -> Column:
+    """The same words, of which names, numbers and units (after numbers) are one placeholder character each.
 
-    ws is to be a column of its own: as an expression it would be computed again for every word.
+    The patterns run over whole texts, for inside higher-order functions they would be interpreted word by word.
     """
-    units = F.array(*[F.lit(u) for u in UNITS.split()])
+    clean = F.regexp_replace(text, f"[{_MARKS}]", " ")
+    names = F.regexp_replace(clean, r"(?=[^\p{Ll}\p{N}\s])(?<=[^\s.!?:;][ \t\n]{1,2})[^\p{L}\p{N}\s]*+\p{Lu}\S*+", _NAME)
+    numbers = F.regexp_replace(names, r"(?=[^\p{L}\s])(?<!\S)[^\p{L}\p{N}\s]*+[0-9][0-9.,:/%]*+(?:st|nd|rd|th)?[^\p{L}\p{N}\s]*+(?!\S)", _NUMBER)
+    units = F.regexp_replace(numbers, rf"(?i){_NUMBER}\s(?:{'|'.join(UNITS.split())})(?=[^\p{{L}}\p{{N}}]|$)", f"{_NUMBER} {_UNIT}")
+    return bare(units)
 
-    def one(w: Column, i: Column) -> Column:
-        b = bare(w)
-        before = F.element_at(ws, F.greatest(i, F.lit(1)))
-        name = (i > 0) & F.rlike(w, F.lit(r"^[^\p{L}\p{N}]*\p{Lu}")) & ~F.rlike(before, F.lit(r"[.!?:;]\W*$"))
-        slot = (
-            F.when(F.rlike(b, F.lit(r"^[0-9][0-9.,:/%]*(st|nd|rd|th)?$")), NUMBER)
-            .when((F.length(b) <= 10) & F.array_contains(units, b) & (i > 0) & F.rlike(before, F.lit(r"[0-9]")), UNIT)
-            .when(name, NAME)
-        )
-        return F.struct(b.alias("bare"), F.coalesce(slot, b).alias("canon"))
 
-    return F.filter(F.transform(ws, one), lambda c: c["bare"] != "")
+def tokens(text: Column) -> Column:
+    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
-def hashed(rows: DataFrame, id_col: str, text_col: str, n: int = WINDOW) -> DataFrame:
-    """(id, tokens, hashes): hashes is null for a text without words.
+def hashed(rows: DataFrame, id_col: str, text_col: str, n: int = WINDOW, slots: bool = False) -> DataFrame:
+    """(id, canon, bare, hashes): hashes is null for a text without words; bare is only there with slots.
 
     Explode hashes with an outer explode: for an inner one the optimizer adds a filter on their size below, which computes
     the nested expressions again for every word.
     """
-    split = rows.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("__words"))
-    tokens = split.select("id", canonical(F.col("__words")).alias("tokens"))
-    canon = tokens.withColumns({"__canon": F.transform("tokens", lambda t: t["canon"]), "__literal": F.transform("tokens", lambda t: (~t["canon"].isin(NUMBER, NAME, UNIT)).cast("int"))})
-
-    def one(i: Column) -> Column:
-        literal = sum((F.coalesce(F.get("__literal", i + k), F.lit(0)) for k in range(1, n)), F.coalesce(F.get("__literal", i), F.lit(0)))
-        enough = (literal >= LEAST_LITERAL) | (F.size("__canon") < n)
-        return F.when(enough, F.xxhash64(*[F.get("__canon", i + k) for k in range(n)]))
-
-    size = F.size("tokens")
-    starts = F.when(size >= n, F.sequence(F.lit(0), size - n)).when(size > 0, F.array(F.lit(0)))
-    return canon.select("id", "tokens", F.transform(starts, one).alias("hashes"))
+    text = F.regexp_replace(F.col(text_col), f"[{_MARKS}]", " ")
+    split = rows.select(F.col(id_col).alias("id"), tokens(canonical(F.col(text_col))).alias("canon"), *([tokens(bare(text)).alias("bare")] if slots else []))
+    size = F.size("canon")
+    starts = F.when(size >= n, F.sequence(F.lit(1), size - (n - 1))).when(size > 0, F.array(F.lit(1)))
+    return split.withColumn("hashes", F.transform(starts, lambda i: F.xxhash64(F.slice("canon", i, n))))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, n: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, kind): the items that documents hold."""
-    items = hashed(benchmark.select("item_id", "text"), "item_id", "text", n)
-    total = items.select(F.col("id").alias("item_id"), F.array_size(F.filter("hashes", lambda h: h.isNotNull())).alias("item_windows"))
-    total = total.groupBy("item_id").agg(F.max("item_windows").alias("item_windows"))
-    slots = lambda p: F.transform(F.filter(F.slice("tokens", p + 1, n), lambda t: t["canon"] != t["bare"]), lambda t: t["bare"])
-    literal = lambda p: F.xxhash64(F.array_join(F.transform(F.slice("tokens", p + 1, n), lambda t: t["bare"]), " "))
-    known = items.select(F.col("id").alias("item_id"), "tokens", F.posexplode_outer("hashes").alias("item_pos", "hash")).where("hash IS NOT NULL")
+    items = hashed(benchmark.select("item_id", "text").where("text IS NOT NULL"), "item_id", "text", n, slots=True)
+    marks = [F.lit(m) for m in _MARKS]
+    placed = lambda p: F.slice(F.arrays_zip("canon", "bare"), p + 1, n)
+    slots = lambda p: F.transform(F.filter(placed(p), lambda t: t["canon"].isin(*marks)), lambda t: t["bare"])
+    literal = lambda p: F.xxhash64(F.slice("bare", p + 1, n))
+    known = items.select(F.col("id").alias("item_id"), "canon", "bare", F.posexplode_outer("hashes").alias("item_pos", "hash")).where("hash IS NOT NULL")
+    words = F.filter(F.slice("canon", F.col("item_pos") + 1, n), lambda w: ~w.isin(*marks))
+    known = known.where(F.size(words) >= F.least(F.lit(LEAST_LITERAL), F.size("canon")))
     known = written(known.select("item_id", "item_pos", "hash", slots(F.col("item_pos")).alias("item_slots"), literal(F.col("item_pos")).alias("item_literal")))
+    total = known.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
     few = known.count() <= BROADCAST_ROWS
     small = lambda t: F.broadcast(t) if few else t
 
     base = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     light = hashed(base, "doc_id", "text", n).select(F.col("id").alias("doc_id"), F.posexplode_outer("hashes").alias("pos", "hash"))
     hit = light.where("hash IS NOT NULL").join(small(known.select("hash").distinct()), "hash", "left_semi")
-    per_doc = written(hit.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "hash")).alias("at")))
+    per_doc = written(hit.groupBy("doc_id").agg(F.collect_set("pos").alias("at")))
     # only documents with a hit are canonicalised once more, for their slots
-    found = hashed(base.join(per_doc.select("doc_id"), "doc_id", "left_semi"), "doc_id", "text", n).select(F.col("id").alias("doc_id"), "tokens").join(per_doc, "doc_id")
-    sides = F.transform("at", lambda a: F.struct(a["hash"].alias("hash"), slots(a["pos"]).alias("slots"), literal(a["pos"]).alias("literal")))
+    found = written(hashed(base.join(per_doc.select("doc_id"), "doc_id", "left_semi"), "doc_id", "text", n, slots=True).join(per_doc, F.col("id") == F.col("doc_id")).select("doc_id", "canon", "bare", "hashes", "at"))
+    sides = F.transform("at", lambda p: F.struct(F.get("hashes", p).alias("hash"), slots(p).alias("slots"), literal(p).alias("literal")))
     rows = found.select("doc_id", F.explode_outer(sides).alias("w")).select("doc_id", "w.*").distinct()
     pairs = rows.join(small(known), "hash").withColumn("same", F.col("literal") == F.col("item_literal"))
     held = (
