@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, packing, quality_classifier, quality_rules, secret_scan, toxicity, url_filters
+from . import chat_format, decontaminate, html_extract, ngram_jaccard, packing, quality_classifier, quality_rules, secret_scan, toxicity, url_filters
 
 QUERIES = {
+    "op1_ngram_jaccard": ngram_jaccard.op1_ngram_jaccard,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_packing": packing.op4_packing,

@@ -186,6 +186,22 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return _features(rows, model.terms, model.coefficients)
 
 
+def non_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text scores below the threshold, with all their columns."""
+    if model.coefficients is None:
+        return docs
+    terms, w = model.terms, model.coefficients
+
+    @F.pandas_udf("boolean")
+    def fine(texts: pd.Series) -> pd.Series:
+        matcher = Matcher(terms)
+        x = np.array([matcher.features(t)[:2] for t in texts], float).reshape(-1, 2)
+        return pd.Series(1 / (1 + np.exp(-np.clip(x @ w[:2] + w[2], -30, 30))) < threshold)
+
+    small_batches(docs.sparkSession)
+    return docs.where(fine(F.col(text_col)))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = score(docs, fitted(docs, table(spark, sf_dir, "labels")))
