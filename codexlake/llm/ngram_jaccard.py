@@ -154,12 +154,12 @@ def sketch(h: np.ndarray) -> np.ndarray:
 def size_counts(texts: DataFrame, n: int, threshold: Threshold) -> tuple[dict[int, int], int]:
     """Sets in each band and the largest size, by the number of words (an upper bound of the size): a few dozen rows."""
     size = F.greatest(F.size(F.split(F.col("t"), r"[\x20\x09-\x0D]+")) - (n - 1), F.lit(1))
-    largest = texts.agg(F.max(size)).first()[0] or 1
-    highs = [h for _, h in threshold.bands(largest)]
+    sizes = written(texts.where("t IS NOT NULL").groupBy(size.alias("size")).count())
+    largest = sizes.agg(F.max("size")).first()[0] or 1
     # about log(size) / log(1 / threshold) bands
-    edges = F.array(*[F.lit(h) for h in highs])
-    rows = texts.where("t IS NOT NULL").groupBy(F.size(F.filter(edges, lambda h: h < size)).alias("band")).count().collect()
-    return {r["band"]: r["count"] for r in rows}, largest
+    edges = F.array(*[F.lit(h) for _, h in threshold.bands(largest)])
+    rows = sizes.groupBy(F.size(F.filter(edges, lambda h: h < F.col("size"))).alias("band")).agg(F.sum("count").alias("n")).collect()
+    return {r["band"]: r["n"] for r in rows}, largest
 
 
 def sets(docs: DataFrame, n: int, schemes: Schemes | None = None) -> DataFrame:
