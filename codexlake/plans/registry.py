@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from . import queries_aggregates, queries_functions, queries_relational, queries_rules
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+for _module in (queries_functions, queries_relational, queries_aggregates, queries_rules):
+    QUERIES |= {name: run for name, (run, _) in _module.DEFINED.items()}
+    ORACLE_SQL |= {name: sql for name, (_, sql) in _module.DEFINED.items() if sql}

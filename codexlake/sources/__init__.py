@@ -1 +1 @@
-"""Part of codexlake."""
+"""Sources and sinks: curated lists, cached downloads, packaged books, feeds, reports."""

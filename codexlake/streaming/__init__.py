@@ -1 +1 @@
-"""Part of codexlake."""
+"""Structured Streaming forms."""
