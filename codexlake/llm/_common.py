@@ -42,9 +42,18 @@ def scratch(spark: SparkSession) -> str:
     return _scratch[app]
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the shared scratch folder, which cuts the lineage and survives lost executors."""
+#: Rows of a few numbers that one task may well write.
+ROWS_A_TASK = 200_000
+
+
+def written(df: DataFrame, at_most: int | None = None) -> DataFrame:
+    """The rows as a Parquet table in the shared scratch folder, which cuts the lineage and survives lost executors.
+
+    at_most: a bound of the number of (narrow) rows, for which few tasks do where few rows can come.
+    """
     spark = df.sparkSession
+    if at_most is not None:
+        df = df.coalesce(max(1, -(-at_most // ROWS_A_TASK)))
     path = f"{scratch(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 from ._common import forget, written
 
 
-def _star(edges: DataFrame, small: bool) -> DataFrame:
-    """One step. edges: (u, v), u > v. Large star: all neighbours; small star: the lower ones only."""
+def _star(edges: DataFrame, small: bool, n: int) -> DataFrame:
+    """One step. edges: (u, v), u > v, at most n. Large star: all neighbours; small star: the lower ones only."""
     around = edges if small else edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = written(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    least = written(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), 2 * n)
     joined = around.join(least, "u")
     if small:
         pairs = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     else:
         pairs = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    out = written(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    out = written(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), 2 * n)
     forget(least)
     return out
 
@@ -38,8 +38,8 @@ def components(links: DataFrame) -> DataFrame:
     mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     before = mark(edges)
     while before[0]:
-        large = _star(edges, small=False)
-        after = _star(large, small=True)
+        large = _star(edges, False, before[0])
+        after = _star(large, True, 2 * before[0])
         now = mark(after)
         forget(edges, large)
         edges = after

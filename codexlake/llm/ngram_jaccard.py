@@ -210,7 +210,8 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
     groups = written(exploded.groupBy("sig").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi")).where("lo <> hi").select("sig"))
     members = written(exploded.join(groups, "sig").distinct())
     forget(groups)
-    near = written(members.select("f1").distinct())
+    m = members.count()
+    near = written(members.select("f1").distinct(), m)
     chosen = classes.join(near, "f1", "left_semi").select("f1", "id")
     held = written(sets(texts.join(chosen.select("id").distinct(), "id", "left_semi"), n).withColumnRenamed("n", "m").join(chosen, "id").select("f1", "h"))
 
@@ -220,21 +221,20 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
         if component is None:
             labelled = members.withColumn("c", F.col("f1"))
         else:
-            labelled = written(members.join(component.withColumnRenamed("node", "f1"), "f1", "left").withColumn("c", F.coalesce("component", "f1")).drop("component"))
-        mixed_groups = written(labelled.groupBy("sig").agg(F.min(F.struct("c", "f1")).alias("least"), F.max("c").alias("most")).where("least.c <> most").select("sig", F.col("least.c").alias("lc"), F.col("least.f1").alias("lf")))
+            labelled = written(members.join(component.withColumnRenamed("node", "f1"), "f1", "left").withColumn("c", F.coalesce("component", "f1")).drop("component"), m)
+        mixed_groups = written(labelled.groupBy("sig").agg(F.min(F.struct("c", "f1")).alias("least"), F.max("c").alias("most")).where("least.c <> most").select("sig", F.col("least.c").alias("lc"), F.col("least.f1").alias("lf")), m)
         open_ = labelled.join(mixed_groups, "sig")
         if round_ < STAR_ROUNDS:
-            pairs = open_.where("c <> lc").groupBy(F.col("f1").alias("b")).agg(F.min("lf").alias("a")).select("a", "b")
+            pairs = written(open_.where("c <> lc").groupBy(F.col("f1").alias("b")).agg(F.min("lf").alias("a")).select("a", "b"), m)
         else:
             rest = written(open_.select("sig", "f1", "c").join(classes.select("f1", "n", *words), "f1"))
             a, b = (rest.select("sig", *[F.col(x).alias(f"{x}_{side}") for x in ("f1", "c", "n", *words)]) for side in "ab")
             differ = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in words[1:]), F.bit_count(F.col(f"{words[0]}_a").bitwiseXOR(F.col(f"{words[0]}_b"))))
             close = (F.col("c_a") < F.col("c_b")) & (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num) & (differ * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num))
-            pairs = a.join(b, "sig").where(close).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b")).distinct()
-        pairs = written(pairs)
-        new = written(verified(pairs, held, threshold))
+            pairs = written(a.join(b, "sig").where(close).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b")).distinct())
+        new = written(verified(pairs, held, threshold), pairs.count())
         joined = new if links is None else links.unionByName(new)
-        component = written(components(joined))
+        component = written(components(joined), 2 * joined.count())
         links = joined
 
     # the least id of each component, then of each class
