@@ -10,7 +10,7 @@ one to expect. Each set sends the signatures of its own band's scheme and of the
 Equal sets are one class from the start. Links between classes are found in two steps, each verified exactly on the sets:
 
 1. Stars: in every signature group the members of other components than the least one are compared with the group's
-   leader, each member with its least leader; components are joined; this runs STAR_ROUNDS times.
+   leader, each member with few of its leaders; components are joined; this runs STAR_ROUNDS times with other leaders.
 2. The rest: groups that still hold several components are joined with themselves across components only, behind a size
    test and a lower bound of the difference from parity sketches. Nothing is skipped, so no link between components is lost.
 
@@ -24,6 +24,8 @@ not matter; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -33,8 +35,11 @@ from pyspark.sql import functions as F
 from ._common import forget, small_batches, table, written
 from .components import components
 
+log = logging.getLogger(__name__)
 CACHE = 400_000
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
+#: Leaders that a member is compared with in a round after the first; what they miss is left to step 2, which is exact.
+LEADERS = 6
 #: Cost of checking a false partner, in signatures.
 PARTNER_COST = 20.0
 SKETCH = 4  # 64-bit words of the parity sketch
@@ -222,20 +227,26 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
             labelled = members.withColumn("c", F.col("f1"))
         else:
             labelled = written(members.join(component.withColumnRenamed("node", "f1"), "f1", "left").withColumn("c", F.coalesce("component", "f1")).drop("component"), m)
-        mixed_groups = written(labelled.groupBy("sig").agg(F.min(F.struct("c", "f1")).alias("least"), F.max("c").alias("most")).where("least.c <> most").select("sig", F.col("least.c").alias("lc"), F.col("least.f1").alias("lf")), m)
+        # a member of the least component leads its group: the least one at first, then others by chance, lest the same pairs return
+        turn = F.xxhash64("f1", "sig", F.lit(round_)) if round_ else F.col("f1")
+        mixed_groups = written(labelled.groupBy("sig").agg(F.min(F.struct("c", turn.alias("turn"), "f1")).alias("least"), F.max("c").alias("most")).where("least.c <> most").select("sig", F.col("least.c").alias("lc"), F.col("least.f1").alias("lf")), m)
         open_ = labelled.join(mixed_groups, "sig")
         if round_ < STAR_ROUNDS:
-            pairs = written(open_.where("c <> lc").groupBy(F.col("f1").alias("b")).agg(F.min("lf").alias("a")).select("a", "b"), m)
+            leaders = open_.where("c <> lc").groupBy(F.col("f1").alias("b")).agg(F.array_sort(F.collect_set("lf")).alias("lf"))
+            pairs = written(leaders.select("b", F.explode(F.slice("lf", 1, LEADERS if round_ else 1)).alias("a")), m)
         else:
             rest = written(open_.select("sig", "f1", "c").join(classes.select("f1", "n", *words), "f1"))
             a, b = (rest.select("sig", *[F.col(x).alias(f"{x}_{side}") for x in ("f1", "c", "n", *words)]) for side in "ab")
             differ = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in words[1:]), F.bit_count(F.col(f"{words[0]}_a").bitwiseXOR(F.col(f"{words[0]}_b"))))
             close = (F.col("c_a") < F.col("c_b")) & (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num) & (differ * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num))
             pairs = written(a.join(b, "sig").where(close).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b")).distinct())
-        new = written(verified(pairs, held, threshold), pairs.count())
+        n_pairs = pairs.count()
+        new = written(verified(pairs, held, threshold), n_pairs)
+        log.info("round %d: %d pairs compared", round_, n_pairs)
         joined = new if links is None else links.unionByName(new)
         component = written(components(joined), 2 * joined.count())
         links = joined
+        forget(mixed_groups, pairs, *([labelled] if round_ else []))
 
     # the least id of each component, then of each class
     own = classes.join(component.withColumnRenamed("node", "f1"), "f1", "left").select("f1", "id", F.coalesce("component", "f1").alias("component"))
