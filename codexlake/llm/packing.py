@@ -2,7 +2,7 @@
 
 A document's ids are cut into full sequences and one rest. The rests' lengths make a histogram of CLASSES length classes
 (rounded up to GRAIN); its size does not depend on the data, so one driver solves the linear program over patterns by
-column generation: the basis starts with one-class patterns, a knapsack dynamic program prices new columns, and the
+column generation: the basis starts with greedy patterns, a knapsack dynamic program prices new columns, and the
 rounded-down solution plus a best-fit of the few rests left over becomes a list of (pattern, count). The documents' rests
 are ranked within their class in two steps (salted buckets, then bucket offsets), so no class has to fit in one task, and
 their rank says which instance of which pattern they belong to.
@@ -100,8 +100,19 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, n
 def column_generation(sizes: np.ndarray, counts: np.ndarray, room: int, gap: float = 1e-4, steps: int = 5000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns) and how often each is used, in real numbers: a basic solution within gap of the bound."""
     m = len(sizes)
-    columns = np.diag(room // sizes).astype(float)
-    inverse, x = np.diag(1 / np.diag(columns)), counts / np.diag(columns)
+    # start: from the largest size down as many of it as fit, topped up with smaller sizes of which enough are left; the
+    # matrix is triangular and the solution not negative
+    columns, left, x = np.zeros((m, m)), counts.astype(float).copy(), np.zeros(m)
+    for i in range(m - 1, -1, -1):
+        columns[i, i] = room // sizes[i]
+        x[i], free = left[i] / columns[i, i], room % sizes[i]
+        left[i] = 0
+        for j in range(min(i, int(np.searchsorted(sizes, free, side="right"))) - 1, -1, -1):
+            if sizes[j] <= free and left[j] >= x[i]:
+                columns[j, i] = 1
+                left[j] -= x[i]
+                free -= sizes[j]
+    inverse = np.linalg.inv(columns)
     for _ in range(steps):
         prices = inverse.sum(0)
         value, pattern = knapsack(prices, sizes, room)
