@@ -13,6 +13,7 @@ in any order, the sequences' contents stay valid; an empty table gives no pieces
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -24,32 +25,67 @@ from ._common import small_batches, table, written
 
 LENGTH, GRAIN, END_ID = 2048, 8, 1
 #: Distinct words whose ids a Python worker remembers.
-CACHE = 300_000
+CACHE = 600_000
 _tokenizers: dict[str, tuple] = {}
 
 
+#: A run of small Latin letters with ASCII punctuation behind it (no apostrophe): the tokenizer splits there in any case.
+_LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+_TAILED = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+
+
 class Tokens:
-    """Ids of whole texts as little-endian 32-bit bytes. The tokenizer drops white space and never joins over it, so texts
-    are encoded space by space and the ids of frequent pieces remembered."""
+    """Ids of whole texts as little-endian 32-bit bytes.
+
+    The tokenizer lower-cases, drops white space, never joins over it, and parts letters from punctuation; so texts are
+    encoded space by space, a word apart from punctuation behind it, and the ids of what has been met are remembered.
+    Texts with a control string, or with a capital sigma (whose small form depends on its place), are not lower-cased ahead.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _learn(self, new: list[str]) -> None:
+        """Letter runs are one word each, so they go through the tokenizer in long texts and are parted where words end."""
+        runs = [p for p in new if _LETTERS.fullmatch(p)]
+        rest = [p for p in new if not _LETTERS.fullmatch(p)]
+        for i in range(0, len(runs), 2_000):
+            some = runs[i : i + 2_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some):
+                rest += some
+                continue
+            data, at = ids.tobytes(), 0
+            for p, end in zip(some, (4 * ends).tolist()):
+                self.known[p] = data[at:end]
+                at = end
+        for i in range(0, len(rest), 20_000):
+            some = rest[i : i + 20_000]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[p] = np.array(e.ids, "<u4").tobytes()
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*parts) - self.known.keys())
-        if new:
-            if len(self.known) + len(new) > CACHE:
-                self.known = {}
-                new = list(set().union(*parts))
-            for i in range(0, len(new), 20_000):
-                some = new[i : i + 20_000]
-                for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    self.known[p] = np.array(e.ids, "<u4").tobytes()
+        parts = []
+        for t in texts:
+            t = t or ""
+            t = t if "<|" in t or "Σ" in t else t.lower()
+            parts.append(t.replace("\n", " ").split(" "))
+        if len(self.known) > CACHE:
+            self.known = {}
+        known = self.known
+        new = set().union(*parts) - known.keys()
+        tailed = {p: m.groups() for p in new if "<|" not in p and (m := _TAILED.fullmatch(p))}
+        self._learn(list((new - tailed.keys()).union(x for pair in tailed.values() for x in pair) - known.keys()))
+        for p, (word, tail) in tailed.items():
+            known[p] = known[word] + known[tail]
         end = np.array([END_ID], "<u4").tobytes()
-        return [b"".join([*map(self.known.__getitem__, p), end]) for p in parts]
+        return [b"".join([*map(known.__getitem__, p), end]) for p in parts]
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
