@@ -42,6 +42,8 @@ def scratch(spark: SparkSession) -> str:
     return _scratch[app]
 
 
+#: With it, Spark removes a command's shuffle files when the command ends: a written table makes them useless at once.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of a few numbers that one task may well write.
 ROWS_A_TASK = 200_000
 
@@ -55,7 +57,15 @@ def written(df: DataFrame, at_most: int | None = None) -> DataFrame:
     if at_most is not None:
         df = df.coalesce(max(1, -(-at_most // ROWS_A_TASK)))
     path = f"{scratch(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,8 +9,8 @@ one to expect. Each set sends the signatures of its own band's scheme and of the
 
 Equal sets are one class from the start. Links between classes are found in two steps, each verified exactly on the sets:
 
-1. Stars: in every signature group the members of other components than the least one are compared with the group's
-   leader, each member with few of its leaders; components are joined; this runs STAR_ROUNDS times with other leaders.
+1. Stars: in every signature group (of two elements or more) the members of other components than the least one are
+   compared with the group's leader, each member with few of its leaders; components are joined; this runs STAR_ROUNDS times with other leaders.
 2. The rest: groups that still hold several components are joined with themselves across components only, behind a size
    test and a lower bound of the difference from parity sketches. Nothing is skipped, so no link between components is lost.
 
@@ -40,9 +40,9 @@ CACHE = 400_000
 STAR_ROUNDS = 3
 #: Leaders that a member is compared with in a round after the first; what they miss is left to step 2, which is exact.
 LEADERS = 6
-#: Cost of checking a false partner, in signatures.
-PARTNER_COST = 20.0
-SKETCH = 4  # 64-bit words of the parity sketch
+#: Cost of a false partner, in signatures: it falls to the sketches inside the join, a signature is shuffled.
+PARTNER_COST = 0.05
+SKETCH = 8  # 64-bit words of the parity sketch
 _MIX1, _MIX2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 _S33 = np.uint64(33)
 
@@ -54,6 +54,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S33)
 
 
+def marked(signatures: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The lowest bit says whether the signature stands for two elements at least; others say little of their sets."""
+    return (signatures & ~np.uint64(1)) | (sizes > 1).astype(np.uint64)
+
+
 class Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > CACHE:
@@ -139,10 +144,11 @@ class Schemes:
         bounds = np.searchsorted(segment[order], np.arange(m + 1))
         sums = ends[bounds[1:]] - ends[bounds[:-1]]
         tag = mixed(np.full(m, k, np.uint64) * _MIX1 + np.arange(m, dtype=np.uint64))
-        out = [mixed(sums ^ tag)]
+        size = np.diff(bounds)
+        out = [marked(mixed(sums ^ tag), size)]
         if deep:
             few = order[: bounds[deep]]
-            out.append(mixed((sums[segment[few]] - token[few]) ^ tag[segment[few]]))
+            out.append(marked(mixed((sums[segment[few]] - token[few]) ^ tag[segment[few]]), size[segment[few]] - 1))
         return np.unique(np.concatenate(out))
 
     def signatures(self, h: np.ndarray) -> np.ndarray:
@@ -202,51 +208,69 @@ def verified(pairs: DataFrame, held: DataFrame, threshold: Threshold) -> DataFra
     return both.mapInPandas(run, "a long, b long")
 
 
+def near_enough(threshold: Threshold):
+    """Whether the sizes and sketches of the sides _a and _b allow a link: differing bits bound the differing elements."""
+    num, den = threshold.num, threshold.den
+    bits = [F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SKETCH)]
+    sizes = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
+    return sizes & (sum(bits[1:], bits[0]) * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num))
+
+
 def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every document: links are pairs of sets with a similarity of at least num / den."""
     threshold = Threshold(num, den)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    base = written(sets(texts, n, Schemes(threshold, *size_counts(texts, n, threshold))))
+    signed = written(sets(texts, n, Schemes(threshold, *size_counts(texts, n, threshold))))
+    base = written(signed.drop("sigs"))
     words = [f"s{k}" for k in range(SKETCH)]
     classes = written(base.where("n > 0 AND id IS NOT NULL").groupBy("f1").agg(F.min("id").alias("id"), F.min("n").alias("n"), *[F.min(s).alias(s) for s in words]))
 
     # signature groups with several classes
-    exploded = base.where("n > 0 AND id IS NOT NULL").select("f1", F.explode("sigs").alias("sig"))
+    exploded = signed.where("n > 0 AND id IS NOT NULL").select("f1", F.explode("sigs").alias("sig"))
     groups = written(exploded.groupBy("sig").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi")).where("lo <> hi").select("sig"))
     members = written(exploded.join(groups, "sig").distinct())
-    forget(groups)
+    forget(groups, signed)
     m = members.count()
-    near = written(members.select("f1").distinct(), m)
-    chosen = classes.join(near, "f1", "left_semi").select("f1", "id")
-    held = written(sets(texts.join(chosen.select("id").distinct(), "id", "left_semi"), n).withColumnRenamed("n", "m").join(chosen, "id").select("f1", "h"))
+    known = classes.select("f1", "n", *words)
 
-    component = None
-    links = None
+    def plausible(pairs: DataFrame) -> DataFrame:
+        """(a, b) pairs whose sizes and sketches allow a link."""
+        sides = [known.select(*[F.col(x).alias(f"{x}_{side}") for x in known.columns]) for side in "ab"]
+        return pairs.join(sides[0], F.col("a") == F.col("f1_a")).join(sides[1], F.col("b") == F.col("f1_b")).where(near_enough(threshold)).select("a", "b")
+
+    component = links = held = None
     for round_ in range(STAR_ROUNDS + 1):
-        if component is None:
-            labelled = members.withColumn("c", F.col("f1"))
-        else:
+        last = round_ == STAR_ROUNDS
+        labelled = members.withColumn("c", F.col("f1"))
+        if component is not None:
             labelled = written(members.join(component.withColumnRenamed("node", "f1"), "f1", "left").withColumn("c", F.coalesce("component", "f1")).drop("component"), m)
         # a member of the least component leads its group: the least one at first, then others by chance, lest the same pairs return
         turn = F.xxhash64("f1", "sig", F.lit(round_)) if round_ else F.col("f1")
-        mixed_groups = written(labelled.groupBy("sig").agg(F.min(F.struct("c", turn.alias("turn"), "f1")).alias("least"), F.max("c").alias("most")).where("least.c <> most").select("sig", F.col("least.c").alias("lc"), F.col("least.f1").alias("lf")), m)
-        open_ = labelled.join(mixed_groups, "sig")
-        if round_ < STAR_ROUNDS:
+        used = labelled if last else labelled.where(F.col("sig").bitwiseAND(F.lit(1)) == 1)
+        open_groups = written(used.groupBy("sig").agg(F.min(F.struct("c", turn.alias("turn"), "f1")).alias("least"), F.max("c").alias("most")).where("least.c <> most").select("sig", F.col("least.c").alias("lc"), F.col("least.f1").alias("lf")), m)
+        open_ = used.join(open_groups, "sig")
+        if not last:
             leaders = open_.where("c <> lc").groupBy(F.col("f1").alias("b")).agg(F.array_sort(F.collect_set("lf")).alias("lf"))
-            pairs = written(leaders.select("b", F.explode(F.slice("lf", 1, LEADERS if round_ else 1)).alias("a")), m)
+            proposed = written(leaders.select("b", F.explode(F.slice("lf", 1, LEADERS if round_ else 1)).alias("a")), m)
+            pairs = written(plausible(proposed), m)
         else:
-            rest = written(open_.select("sig", "f1", "c").join(classes.select("f1", "n", *words), "f1"))
+            rest = written(open_.select("sig", "f1", "c").join(known, "f1"))
             a, b = (rest.select("sig", *[F.col(x).alias(f"{x}_{side}") for x in ("f1", "c", "n", *words)]) for side in "ab")
-            differ = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in words[1:]), F.bit_count(F.col(f"{words[0]}_a").bitwiseXOR(F.col(f"{words[0]}_b"))))
-            close = (F.col("c_a") < F.col("c_b")) & (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num) & (differ * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num))
-            pairs = written(a.join(b, "sig").where(close).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b")).distinct())
+            pairs = written(a.join(b, "sig").where((F.col("c_a") < F.col("c_b")) & near_enough(threshold)).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b")).distinct())
+            forget(rest)
         n_pairs = pairs.count()
-        new = written(verified(pairs, held, threshold), n_pairs)
         log.info("round %d: %d pairs compared", round_, n_pairs)
-        joined = new if links is None else links.unionByName(new)
-        component = written(components(joined), 2 * joined.count())
-        links = joined
-        forget(mixed_groups, pairs, *([labelled] if round_ else []))
+        # the sets of the documents in pairs, made from the texts when first wanted
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("f1")).distinct()
+        if held is not None:
+            wanted = wanted.join(held.select("f1"), "f1", "left_anti")
+        wanted = written(classes.join(wanted, "f1", "left_semi").select("f1", "id"), 2 * n_pairs)
+        more = written(sets(texts.join(wanted.select("id").distinct(), "id", "left_semi"), n).withColumnRenamed("n", "size").join(wanted, "id").select("f1", "h"))
+        held = more if held is None else held.unionByName(more)
+        new = written(verified(pairs, held, threshold), n_pairs)
+        links = new if links is None else links.unionByName(new)
+        component = written(components(links), 2 * links.count())
+        forget(open_groups, pairs, wanted, *([labelled] if round_ else []))
 
     # the least id of each component, then of each class
     own = classes.join(component.withColumnRenamed("node", "f1"), "f1", "left").select("f1", "id", F.coalesce("component", "f1").alias("component"))
