@@ -162,6 +162,18 @@ def sketch(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(h: np.ndarray) -> bytes:
+    """Parities in a power of two of bits, as many as elements at least; sketches of different width are folded to the lesser."""
+    bits = max(64, 1 << max(0, len(h) - 1).bit_length())
+    odd = np.bincount((mixed(h ^ _GOLD) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0) ^ x).sum())
+
+
 def size_counts(texts: DataFrame, n: int, threshold: Threshold) -> tuple[dict[int, int], int]:
     """Sets in each band and the largest size, by the number of words (an upper bound of the size): a few dozen rows."""
     size = F.greatest(F.size(F.split(F.col("t"), r"[\x20\x09-\x0D]+")) - (n - 1), F.lit(1))
@@ -186,11 +198,11 @@ def sets(docs: DataFrame, n: int, schemes: Schemes | None = None) -> DataFrame:
                     rows.append((i, len(h), h.tobytes()))
                 else:
                     f1, f2 = (int(mixed(mixed(h + np.uint64(k)).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(h)))[0].astype(np.int64)) for k in (1, 2))
-                    rows.append((i, len(h), f1, f2, *map(int, sketch(h)), schemes.signatures(h).astype(np.int64) if len(h) else np.zeros(0, np.int64)))
+                    rows.append((i, len(h), f1, f2, *map(int, sketch(h)), wide_sketch(h), schemes.signatures(h).astype(np.int64) if len(h) else np.zeros(0, np.int64)))
             yield pd.DataFrame(rows, columns=names)
 
-    names = ["id", "n", "h"] if schemes is None else ["id", "n", "f1", "f2", *[f"s{k}" for k in range(SKETCH)], "sigs"]
-    kinds = {"h": "binary", "sigs": "array<long>"}
+    names = ["id", "n", "h"] if schemes is None else ["id", "n", "f1", "f2", *[f"s{k}" for k in range(SKETCH)], "wide", "sigs"]
+    kinds = {"h": "binary", "wide": "binary", "sigs": "array<long>"}
     small_batches(docs.sparkSession)
     return docs.select("id", "t").mapInPandas(run, ", ".join(f"{c} {kinds.get(c, 'long')}" for c in names))
 
@@ -208,6 +220,19 @@ def verified(pairs: DataFrame, held: DataFrame, threshold: Threshold) -> DataFra
     return both.mapInPandas(run, "a long, b long")
 
 
+def sketched(pairs: DataFrame, classes: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs (a, b) whose wide sketches allow a link; a sketch takes a 64th of its set, so few sets need to travel."""
+    side = lambda x: classes.select(F.col("f1").alias(x), F.col("wide").alias(f"w{x}"), F.col("n").alias(f"n{x}"))
+
+    def run(batches):
+        for b in batches:
+            fine = [differing_bits(x, y) <= threshold.differ(int(n)) for x, y, n in zip(b["wa"], b["wb"], b["na"] + b["nb"])]
+            yield b[["a", "b"]][np.array(fine, bool)]
+
+    small_batches(pairs.sparkSession)
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a long, b long")
+
+
 def near_enough(threshold: Threshold):
     """Whether the sizes and sketches of the sides _a and _b allow a link: differing bits bound the differing elements."""
     num, den = threshold.num, threshold.den
@@ -221,9 +246,10 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
     threshold = Threshold(num, den)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     signed = written(sets(texts, n, Schemes(threshold, *size_counts(texts, n, threshold))))
-    base = written(signed.drop("sigs"))
+    narrow = signed.drop("sigs")
+    base = written(narrow.drop("wide"))
     words = [f"s{k}" for k in range(SKETCH)]
-    classes = written(base.where("n > 0 AND id IS NOT NULL").groupBy("f1").agg(F.min("id").alias("id"), F.min("n").alias("n"), *[F.min(s).alias(s) for s in words]))
+    classes = written(narrow.where("n > 0 AND id IS NOT NULL").groupBy("f1").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("wide").alias("wide"), *[F.min(s).alias(s) for s in words]))
 
     # signature groups with several classes
     exploded = signed.where("n > 0 AND id IS NOT NULL").select("f1", F.explode("sigs").alias("sig"))
@@ -258,6 +284,7 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
             a, b = (rest.select("sig", *[F.col(x).alias(f"{x}_{side}") for x in ("f1", "c", "n", *words)]) for side in "ab")
             pairs = written(a.join(b, "sig").where((F.col("c_a") < F.col("c_b")) & near_enough(threshold)).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b")).distinct())
             forget(rest)
+        loose, pairs = pairs, written(sketched(pairs, classes, threshold), pairs.count())
         n_pairs = pairs.count()
         log.info("round %d: %d pairs compared", round_, n_pairs)
         # the sets of the documents in pairs, made from the texts when first wanted
@@ -270,7 +297,7 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
         new = written(verified(pairs, held, threshold), n_pairs)
         links = new if links is None else links.unionByName(new)
         component = written(components(links), 2 * links.count())
-        forget(open_groups, pairs, wanted, *([labelled] if round_ else []))
+        forget(open_groups, loose, pairs, wanted, *([labelled] if round_ else []))
 
     # the least id of each component, then of each class
     own = classes.join(component.withColumnRenamed("node", "f1"), "f1", "left").select("f1", "id", F.coalesce("component", "f1").alias("component"))
