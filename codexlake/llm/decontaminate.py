@@ -1,8 +1,9 @@
 """Benchmark decontamination by template windows, with DataFrame expressions only.
 
 Words are canonicalised: lower case, outer punctuation dropped, and numbers, names (capitalised words inside a sentence)
-and units replaced by typed placeholders. Windows of WINDOW canonical words are hashed on both sides and joined by hash.
-The windows of the benchmark are broadcast behind a check of their number; beyond it the join is shuffled.
+and units replaced by typed placeholders. Windows of WINDOW words are hashed on both sides, canonical and bare (in lower
+case, without placeholders, so that capitals and titles hide no copy), and either kind is joined by hash. The windows of
+the benchmark are broadcast behind a check of their number; beyond it the join is shuffled.
 
 A window matches literally if its words are equal but for case and punctuation. Where it does not, its slots (the words
 under placeholders) are compared: over all windows of a document and an item every value of the item must stand for one
@@ -50,46 +51,66 @@ def canonical(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
-def hashed(rows: DataFrame, id_col: str, text_col: str, n: int = WINDOW, slots: bool = False) -> DataFrame:
-    """(id, canon, bare, hashes): hashes is null for a text without words; bare is only there with slots.
+def words(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, canon, bare): the words in both forms, one to one."""
+    text = F.regexp_replace(F.col(text_col), f"[{_MARKS}]", " ")
+    return rows.select(F.col(id_col).alias("id"), tokens(canonical(F.col(text_col))).alias("canon"), tokens(bare(text)).alias("bare"))
+
+
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def window_hashes(hashes: str, n: int) -> Column:
+    """A hash for every word: of the window that starts there, which is shorter than n at the end; null without words.
+
+    The column stands here twice, so that the optimizer does not move its expression into the loop.
+    """
+    return F.transform(F.when(F.size(hashes) > 0, F.sequence(F.lit(1), F.size(hashes))), lambda i: F.xxhash64(F.slice(hashes, i, n)))
+
+
+def hashed(rows: DataFrame, id_col: str, text_col: str, n: int = WINDOW) -> DataFrame:
+    """(id, n_words, hashes): of all canonical windows, then of all bare ones; hashes is null for a text without words.
 
     Explode hashes with an outer explode: for an inner one the optimizer adds a filter on their size below, which computes
     the nested expressions again for every word.
     """
-    text = F.regexp_replace(F.col(text_col), f"[{_MARKS}]", " ")
-    split = rows.select(F.col(id_col).alias("id"), tokens(canonical(F.col(text_col))).alias("canon"), *([tokens(bare(text)).alias("bare")] if slots else []))
-    size = F.size("canon")
-    starts = F.when(size >= n, F.sequence(F.lit(1), size - (n - 1))).when(size > 0, F.array(F.lit(1)))
-    return split.withColumn("hashes", F.transform(starts, lambda i: F.xxhash64(F.slice("canon", i, n))))
+    split = words(rows, id_col, text_col).select("id", F.size("canon").alias("n_words"), word_hashes(F.col("canon")).alias("canon"), word_hashes(F.col("bare")).alias("bare"))
+    return split.select("id", "n_words", F.concat(window_hashes("canon", n), window_hashes("bare", n)).alias("hashes"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, n: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, kind): the items that documents hold."""
-    items = hashed(benchmark.select("item_id", "text").where("text IS NOT NULL"), "item_id", "text", n, slots=True)
     marks = [F.lit(m) for m in _MARKS]
     placed = lambda p: F.slice(F.arrays_zip("canon", "bare"), p + 1, n)
     slots = lambda p: F.transform(F.filter(placed(p), lambda t: t["canon"].isin(*marks)), lambda t: t["bare"])
-    literal = lambda p: F.xxhash64(F.slice("bare", p + 1, n))
-    known = items.select(F.col("id").alias("item_id"), "canon", "bare", F.posexplode_outer("hashes").alias("item_pos", "hash")).where("hash IS NOT NULL")
-    words = F.filter(F.slice("canon", F.col("item_pos") + 1, n), lambda w: ~w.isin(*marks))
-    known = known.where(F.size(words) >= F.least(F.lit(LEAST_LITERAL), F.size("canon")))
-    known = written(known.select("item_id", "item_pos", "hash", slots(F.col("item_pos")).alias("item_slots"), literal(F.col("item_pos")).alias("item_literal")))
+    digest = lambda c, p: F.xxhash64(word_hashes(F.slice(c, p + 1, n)))
+    items = words(benchmark.select("item_id", "text").where("text IS NOT NULL"), "item_id", "text")
+    starts = F.when(F.size("canon") > 0, F.sequence(F.lit(0), F.greatest(F.size("canon") - n, F.lit(0))))
+    known = items.select(F.col("id").alias("item_id"), "canon", "bare", F.explode_outer(starts).alias("item_pos")).where("item_pos IS NOT NULL")
+    plain = F.filter(F.slice("canon", F.col("item_pos") + 1, n), lambda w: ~w.isin(*marks))
+    known = known.where(F.size(plain) >= F.least(F.lit(LEAST_LITERAL), F.size("canon")))
+    at = F.col("item_pos")
+    known = written(known.select("item_id", "item_pos", digest("canon", at).alias("item_hash"), digest("bare", at).alias("item_literal"), slots(at).alias("item_slots")))
     total = known.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
     few = known.count() <= BROADCAST_ROWS
     small = lambda t: F.broadcast(t) if few else t
+    keys = known.select(F.explode_outer(F.array("item_hash", "item_literal")).alias("hash")).where("hash IS NOT NULL").distinct()
 
     base = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    light = hashed(base, "doc_id", "text", n).select(F.col("id").alias("doc_id"), F.posexplode_outer("hashes").alias("pos", "hash"))
-    hit = light.where("hash IS NOT NULL").join(small(known.select("hash").distinct()), "hash", "left_semi")
-    per_doc = written(hit.groupBy("doc_id").agg(F.collect_set("pos").alias("at")))
+    light = hashed(base, "doc_id", "text", n).select(F.col("id").alias("doc_id"), "n_words", F.posexplode_outer("hashes").alias("pos", "hash"))
+    hit = light.where("hash IS NOT NULL").join(small(keys), "hash", "left_semi")
+    per_doc = written(hit.groupBy("doc_id").agg(F.collect_set(F.col("pos") % F.col("n_words")).alias("at")))
     # only documents with a hit are canonicalised once more, for their slots
-    found = written(hashed(base.join(per_doc.select("doc_id"), "doc_id", "left_semi"), "doc_id", "text", n, slots=True).join(per_doc, F.col("id") == F.col("doc_id")).select("doc_id", "canon", "bare", "hashes", "at"))
-    sides = F.transform("at", lambda p: F.struct(F.get("hashes", p).alias("hash"), slots(p).alias("slots"), literal(p).alias("literal")))
+    found = written(words(base.join(per_doc.select("doc_id"), "doc_id", "left_semi"), "doc_id", "text").join(per_doc, F.col("id") == F.col("doc_id")).select("doc_id", "canon", "bare", "at"))
+    sides = F.transform("at", lambda p: F.struct(digest("canon", p).alias("hash"), digest("bare", p).alias("literal"), slots(p).alias("slots")))
     rows = found.select("doc_id", F.explode_outer(sides).alias("w")).select("doc_id", "w.*").distinct()
-    pairs = rows.join(small(known), "hash").withColumn("same", F.col("literal") == F.col("item_literal"))
+    literal = rows.join(small(known), rows["literal"] == known["item_literal"]).select("doc_id", "item_id", "item_pos", F.lit(True).alias("same"), F.array().cast("array<string>").alias("slots"), "item_slots")
+    template = rows.join(small(known), (rows["hash"] == known["item_hash"]) & (rows["literal"] != known["item_literal"]))
+    pairs = literal.unionByName(template.select("doc_id", "item_id", "item_pos", F.lit(False).alias("same"), "slots", "item_slots"))
     held = (
         pairs.groupBy("doc_id", "item_id", "item_pos")
         .agg(F.max("same").alias("same"), F.max_by(F.when(~F.col("same"), F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))), F.xxhash64("slots")).alias("slots"))

@@ -126,6 +126,12 @@ def test_reparameterised_questions(spark):
     assert got == {(n + 1, 0): "literal", (n + 2, 0): "reparameterised", (n + 4, 0): "literal"} | ({(n, 0): got[(n, 0)]} if (n, 0) in got else {})
 
 
+def test_copies_in_other_case(spark):
+    bench = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("item_id").limit(20).collect()] + [QUESTION]
+    got = leaks(spark, [*(t.upper() for t in bench), *(t.title() for t in bench), *("Lead in. " + t.swapcase() for t in bench)], bench)
+    assert all(got.get((k + j * len(bench), k)) == "literal" for j in range(3) for k in range(len(bench)))
+
+
 def test_leaks_equal_plain_search(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
