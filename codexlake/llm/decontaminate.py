@@ -8,10 +8,12 @@ the benchmark are broadcast behind a check of their number; beyond it the join i
 A window matches literally if its words are equal but for case and punctuation. Where it does not, its slots (the words
 under placeholders) are compared: over all windows of a document and an item every value of the item must stand for one
 value of the document. Consistent slots make it a re-parameterised question, inconsistent ones no match. A document holds
-an item if the matched windows are at least SHARE of the item's windows.
+an item if the matched windows are at least SHARE of the item's windows; for templates only windows with LEAST_LITERAL
+words beside the placeholders are counted. An item shorter than a window is one window of all its words, and is looked up
+anywhere in a document.
 
-Defined results: null or empty texts and items have no windows and match nothing; an item shorter than a window is one
-window of all its words; repeated rows count once for each id; an empty table on either side gives no rows.
+Defined results: null or empty texts and items have no windows and match nothing; repeated rows count once for each
+id; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations
@@ -72,57 +74,62 @@ def window_hashes(hashes: str, n: int) -> Column:
     return F.transform(F.when(F.size(hashes) > 0, F.sequence(F.lit(1), F.size(hashes))), lambda i: F.xxhash64(F.slice(hashes, i, n)))
 
 
-def hashed(rows: DataFrame, id_col: str, text_col: str, n: int = WINDOW) -> DataFrame:
-    """(id, n_words, hashes): of all canonical windows, then of all bare ones; hashes is null for a text without words.
+def hashed(rows: DataFrame, id_col: str, text_col: str, sizes: list[int]) -> DataFrame:
+    """(id, n_words, hashes): of the canonical and the bare windows of each size; hashes is null for a text without words.
 
     Explode hashes with an outer explode: for an inner one the optimizer adds a filter on their size below, which computes
     the nested expressions again for every word.
     """
     split = words(rows, id_col, text_col).select("id", F.size("canon").alias("n_words"), word_hashes(F.col("canon")).alias("canon"), word_hashes(F.col("bare")).alias("bare"))
-    return split.select("id", "n_words", F.concat(window_hashes("canon", n), window_hashes("bare", n)).alias("hashes"))
+    return split.select("id", "n_words", F.concat(*(window_hashes(form, n) for n in sizes for form in ("canon", "bare"))).alias("hashes"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, n: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, kind): the items that documents hold."""
     marks = [F.lit(m) for m in _MARKS]
-    placed = lambda p: F.slice(F.arrays_zip("canon", "bare"), p + 1, n)
-    slots = lambda p: F.transform(F.filter(placed(p), lambda t: t["canon"].isin(*marks)), lambda t: t["bare"])
-    digest = lambda c, p: F.xxhash64(word_hashes(F.slice(c, p + 1, n)))
-    items = words(benchmark.select("item_id", "text").where("text IS NOT NULL"), "item_id", "text")
-    starts = F.when(F.size("canon") > 0, F.sequence(F.lit(0), F.greatest(F.size("canon") - n, F.lit(0))))
-    known = items.select(F.col("id").alias("item_id"), "canon", "bare", F.explode_outer(starts).alias("item_pos")).where("item_pos IS NOT NULL")
-    plain = F.filter(F.slice("canon", F.col("item_pos") + 1, n), lambda w: ~w.isin(*marks))
-    known = known.where(F.size(plain) >= F.least(F.lit(LEAST_LITERAL), F.size("canon")))
-    at = F.col("item_pos")
-    known = written(known.select("item_id", "item_pos", digest("canon", at).alias("item_hash"), digest("bare", at).alias("item_literal"), slots(at).alias("item_slots")))
-    total = known.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
+    placed = lambda p, n: F.slice(F.arrays_zip("canon", "bare"), p + 1, n)
+    slots = lambda p, n: F.transform(F.filter(placed(p, n), lambda t: t["canon"].isin(*marks)), lambda t: t["bare"])
+    digest = lambda c, p, n: F.xxhash64(word_hashes(F.slice(c, p + 1, n)))
+    items = words(benchmark.select("item_id", "text").where("text IS NOT NULL"), "item_id", "text").withColumn("n", F.least(F.size("canon"), F.lit(n)))
+    starts = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.size("canon") - F.col("n")))
+    known = items.select(F.col("id").alias("item_id"), "n", "canon", "bare", F.explode_outer(starts).alias("item_pos")).where("item_pos IS NOT NULL")
+    plain = F.filter(F.slice("canon", F.col("item_pos") + 1, F.col("n")), lambda w: ~w.isin(*marks))
+    # a template needs literal words, a literal copy does not
+    usable = F.size(plain) >= F.least(F.lit(LEAST_LITERAL), F.col("n"))
+    at = (F.col("item_pos"), F.col("n"))
+    known = written(known.select("item_id", "item_pos", "n", F.when(usable, digest("canon", *at)).alias("item_hash"), digest("bare", *at).alias("item_literal"), slots(*at).alias("item_slots")))
+    total = known.groupBy("item_id").agg(F.countDistinct("item_pos").alias("windows"), F.countDistinct(F.when(F.col("item_hash").isNotNull(), F.col("item_pos"))).alias("template_windows"))
     few = known.count() <= BROADCAST_ROWS
     small = lambda t: F.broadcast(t) if few else t
     keys = known.select(F.explode_outer(F.array("item_hash", "item_literal")).alias("hash")).where("hash IS NOT NULL").distinct()
+    # at most n: items shorter than n words are looked up with windows of their own length
+    sizes = sorted(r.n for r in known.select("n").distinct().collect()) or [n]
 
     base = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    light = hashed(base, "doc_id", "text", n).select(F.col("id").alias("doc_id"), "n_words", F.posexplode_outer("hashes").alias("pos", "hash"))
+    light = hashed(base, "doc_id", "text", sizes).select(F.col("id").alias("doc_id"), "n_words", F.posexplode_outer("hashes").alias("pos", "hash"))
     hit = light.where("hash IS NOT NULL").join(small(keys), "hash", "left_semi")
     per_doc = written(hit.groupBy("doc_id").agg(F.collect_set(F.col("pos") % F.col("n_words")).alias("at")))
     # only documents with a hit are canonicalised once more, for their slots
     found = written(words(base.join(per_doc.select("doc_id"), "doc_id", "left_semi"), "doc_id", "text").join(per_doc, F.col("id") == F.col("doc_id")).select("doc_id", "canon", "bare", "at"))
-    sides = F.transform("at", lambda p: F.struct(digest("canon", p).alias("hash"), digest("bare", p).alias("literal"), slots(p).alias("slots")))
-    rows = found.select("doc_id", F.explode_outer(sides).alias("w")).select("doc_id", "w.*").distinct()
-    literal = rows.join(small(known), rows["literal"] == known["item_literal"]).select("doc_id", "item_id", "item_pos", F.lit(True).alias("same"), F.array().cast("array<string>").alias("slots"), "item_slots")
+    side = lambda n: F.transform(F.filter("at", lambda p: p + n <= F.size("canon")), lambda p: F.struct(digest("canon", p, n).alias("hash"), digest("bare", p, n).alias("literal"), slots(p, n).alias("slots")))
+    rows = found.select("doc_id", F.explode_outer(F.concat(*map(side, sizes))).alias("w")).select("doc_id", "w.*").distinct()
+    literal = rows.join(small(known), rows["literal"] == known["item_literal"]).select("doc_id", "item_id", "item_pos", F.col("item_hash").isNotNull().alias("usable"), F.lit(True).alias("same"), F.array().cast("array<string>").alias("slots"), "item_slots")
     template = rows.join(small(known), (rows["hash"] == known["item_hash"]) & (rows["literal"] != known["item_literal"]))
-    pairs = literal.unionByName(template.select("doc_id", "item_id", "item_pos", F.lit(False).alias("same"), "slots", "item_slots"))
+    pairs = literal.unionByName(template.select("doc_id", "item_id", "item_pos", F.lit(True).alias("usable"), F.lit(False).alias("same"), "slots", "item_slots"))
     held = (
         pairs.groupBy("doc_id", "item_id", "item_pos")
-        .agg(F.max("same").alias("same"), F.max_by(F.when(~F.col("same"), F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))), F.xxhash64("slots")).alias("slots"))
+        .agg(F.max("same").alias("same"), F.max("usable").alias("usable"), F.max_by(F.when(~F.col("same"), F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))), F.xxhash64("slots")).alias("slots"))
         .groupBy("doc_id", "item_id")
-        .agg(F.count("*").alias("n_windows"), F.bool_and("same").alias("literal"), F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("same"), F.col("slots"))))).alias("slots"))
+        .agg(F.count("*").alias("n_windows"), F.count_if("usable").alias("n_template"), F.bool_and("same").alias("literal"), F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("same"), F.col("slots"))))).alias("slots"))
         .join(small(total), "item_id")
-        .where(F.col("n_windows") >= F.greatest(F.lit(1), F.ceil(share * F.col("item_windows"))))
     )
+    enough = lambda hits, all_: (hits > 0) & (hits >= F.ceil(share * all_))
     consistent = F.size(F.array_distinct(F.transform("slots", lambda s: s["a"]))) == F.size("slots")
-    return held.where(F.col("literal") | consistent).select(
-        "doc_id", "item_id", "n_windows", F.col("item_windows").cast("long").alias("item_windows"), F.size("slots").cast("long").alias("n_slots"),
-        F.when(F.col("literal"), "literal").otherwise("reparameterised").alias("kind"),
+    literal = F.col("literal") & (enough(F.col("n_windows"), F.col("windows")) | enough(F.col("n_template"), F.col("template_windows")))
+    template = consistent & enough(F.col("n_template"), F.col("template_windows"))
+    return held.where(literal | template).select(
+        "doc_id", "item_id", F.when(F.col("literal"), F.col("n_windows")).otherwise(F.col("n_template")).alias("n_windows"), F.when(F.col("literal"), F.col("windows")).otherwise(F.col("template_windows")).alias("item_windows"),
+        F.size("slots").cast("long").alias("n_slots"), F.when(F.col("literal"), "literal").otherwise("reparameterised").alias("kind"),
     )
 
 

@@ -132,6 +132,13 @@ def test_copies_in_other_case(spark):
     assert all(got.get((k + j * len(bench), k)) == "literal" for j in range(3) for k in range(len(bench)))
 
 
+def test_items_of_numbers_and_short_items(spark):
+    items = ["Compute 12 * 34 + 56 - 78 / 9 + 3 now", "What is seven times eight?", "Hello", "Please give Alice exactly 3 km today"]
+    long = "This text has rather more than eight words before it comes: {} And it goes on for some more words after that."
+    got = leaks(spark, [*(long.format(t) for t in items), items[1], long.format("What is seven times nine?"), long.format("please give Bob exactly 5 km today"), "Compute 13 * 35 + 57 - 79 / 8 + 4 now"], items)
+    assert got == {(0, 0): "literal", (1, 1): "literal", (2, 2): "literal", (3, 3): "literal", (4, 1): "literal", (6, 3): "reparameterised"}
+
+
 def test_leaks_equal_plain_search(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
