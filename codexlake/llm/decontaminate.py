@@ -5,12 +5,12 @@ and units replaced by typed placeholders. Windows of WINDOW words are hashed on
 case, without placeholders, so that capitals and titles hide no copy), and either kind is joined by hash. The windows of
 the benchmark are broadcast behind a check of their number; beyond it the join is shuffled.
 
-A window matches literally if its words are equal but for case and punctuation. Where it does not, its slots (the words
-under placeholders) are compared: over all windows of a document and an item every value of the item must stand for one
-value of the document. Consistent slots make it a re-parameterised question, inconsistent ones no match. A document holds
-an item if the matched windows are at least SHARE of the item's windows; for templates only windows with LEAST_LITERAL
-words beside the placeholders are counted. An item shorter than a window is one window of all its words, and is looked up
-anywhere in a document.
+A window matches literally if its words are equal but for case and punctuation; a document holds an item literally if
+such windows are at least SHARE of the item's. For templates only windows with LEAST_LITERAL words beside the placeholders
+are counted, and slots (the words under placeholders) are compared: every value of the item must stand for one value of
+the document, over the windows that start the item at the same word, or over those of a copy (starts less than half an item
+apart), or over all windows of the document; one of these with SHARE of the windows makes a re-parameterised question. An
+item shorter than a window is one window of all its words, and is looked up anywhere in a document.
 
 Defined results: null or empty texts and items have no windows and match nothing; repeated rows count once for each
 id; an empty table on either side gives no rows.
@@ -18,7 +18,7 @@ id; an empty table on either side gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import table, written
@@ -111,26 +111,31 @@ def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, n: int
     per_doc = written(hit.groupBy("doc_id").agg(F.collect_set(F.col("pos") % F.col("n_words")).alias("at")))
     # only documents with a hit are canonicalised once more, for their slots
     found = written(words(base.join(per_doc.select("doc_id"), "doc_id", "left_semi"), "doc_id", "text").join(per_doc, F.col("id") == F.col("doc_id")).select("doc_id", "canon", "bare", "at"))
-    side = lambda n: F.transform(F.filter("at", lambda p: p + n <= F.size("canon")), lambda p: F.struct(digest("canon", p, n).alias("hash"), digest("bare", p, n).alias("literal"), slots(p, n).alias("slots")))
+    side = lambda n: F.transform(F.filter("at", lambda p: p + n <= F.size("canon")), lambda p: F.struct(p.alias("pos"), digest("canon", p, n).alias("hash"), digest("bare", p, n).alias("literal"), slots(p, n).alias("slots")))
     rows = found.select("doc_id", F.explode_outer(F.concat(*map(side, sizes))).alias("w")).select("doc_id", "w.*").distinct()
-    literal = rows.join(small(known), rows["literal"] == known["item_literal"]).select("doc_id", "item_id", "item_pos", F.col("item_hash").isNotNull().alias("usable"), F.lit(True).alias("same"), F.array().cast("array<string>").alias("slots"), "item_slots")
-    template = rows.join(small(known), (rows["hash"] == known["item_hash"]) & (rows["literal"] != known["item_literal"]))
-    pairs = literal.unionByName(template.select("doc_id", "item_id", "item_pos", F.lit(True).alias("usable"), F.lit(False).alias("same"), "slots", "item_slots"))
+    zipped = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    ends = ("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("start"))
+    literal = rows.join(small(known), rows["literal"] == known["item_literal"]).select(*ends, F.col("item_hash").isNotNull().alias("usable"), F.lit(True).alias("same"), F.lit(None).cast("array<struct<a:string,b:string>>").alias("slots"))
+    template = rows.join(small(known), (rows["hash"] == known["item_hash"]) & (rows["literal"] != known["item_literal"])).select(*ends, F.lit(True).alias("usable"), F.lit(False).alias("same"), zipped.alias("slots"))
+    pairs = literal.unionByName(template).join(small(total), "item_id")
+    # starts less than half an item apart are one copy, into which or out of which words were put
+    order = Window.partitionBy("doc_id", "item_id").orderBy("start")
+    apart = F.coalesce((F.col("start") - F.lag("start").over(order)) * 2 >= F.col("windows") + n - 1, F.lit(True))
+    pairs = pairs.withColumn("apart", apart.cast("long")).withColumn("copy", F.sum("apart").over(order.rangeBetween(Window.unboundedPreceding, 0)))
+    level = lambda rank, key, all_: F.struct(F.lit(rank).alias("rank"), key.cast("long").alias("key"), F.col(all_).alias("item_windows"))
+    literally = F.array(level(0, F.lit(0), "windows"), F.when(F.col("usable"), level(1, F.lit(0), "template_windows")))
+    aligned = F.array(level(2, F.col("start"), "template_windows"), level(3, F.col("copy"), "template_windows"), level(4, F.lit(0), "template_windows"))
+    levels = F.concat(F.when(F.col("same"), literally).otherwise(F.array()), F.when(F.col("usable"), aligned).otherwise(F.array()))
     held = (
-        pairs.groupBy("doc_id", "item_id", "item_pos")
-        .agg(F.max("same").alias("same"), F.max("usable").alias("usable"), F.max_by(F.when(~F.col("same"), F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))), F.xxhash64("slots")).alias("slots"))
-        .groupBy("doc_id", "item_id")
-        .agg(F.count("*").alias("n_windows"), F.count_if("usable").alias("n_template"), F.bool_and("same").alias("literal"), F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("same"), F.col("slots"))))).alias("slots"))
-        .join(small(total), "item_id")
+        pairs.select("doc_id", "item_id", "item_pos", "slots", F.explode_outer(levels).alias("l"))
+        .where("l IS NOT NULL")
+        .groupBy("doc_id", "item_id", "l")
+        .agg(F.size(F.collect_set("item_pos")).cast("long").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+        .where(F.col("n_windows") >= F.ceil(share * F.col("l.item_windows")))
+        .where(F.size(F.array_distinct(F.transform("slots", lambda s: s["a"]))) == F.size("slots"))
     )
-    enough = lambda hits, all_: (hits > 0) & (hits >= F.ceil(share * all_))
-    consistent = F.size(F.array_distinct(F.transform("slots", lambda s: s["a"]))) == F.size("slots")
-    literal = F.col("literal") & (enough(F.col("n_windows"), F.col("windows")) | enough(F.col("n_template"), F.col("template_windows")))
-    template = consistent & enough(F.col("n_template"), F.col("template_windows"))
-    return held.where(literal | template).select(
-        "doc_id", "item_id", F.when(F.col("literal"), F.col("n_windows")).otherwise(F.col("n_template")).alias("n_windows"), F.when(F.col("literal"), F.col("windows")).otherwise(F.col("template_windows")).alias("item_windows"),
-        F.size("slots").cast("long").alias("n_slots"), F.when(F.col("literal"), "literal").otherwise("reparameterised").alias("kind"),
-    )
+    best = held.groupBy("doc_id", "item_id").agg(F.min(F.struct(F.greatest("l.rank", F.lit(1)).alias("rank"), (-F.col("n_windows")).alias("less"), F.col("l.item_windows").alias("item_windows"), F.size("slots").cast("long").alias("n_slots"))).alias("b"))
+    return best.select("doc_id", "item_id", (-F.col("b.less")).alias("n_windows"), "b.item_windows", "b.n_slots", F.when(F.col("b.rank") == 1, "literal").otherwise("reparameterised").alias("kind"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -139,6 +139,16 @@ def test_items_of_numbers_and_short_items(spark):
     assert got == {(0, 0): "literal", (1, 1): "literal", (2, 2): "literal", (3, 3): "literal", (4, 1): "literal", (6, 3): "reparameterised"}
 
 
+def test_worksheets_and_stray_windows(spark):
+    one = QUESTION.replace("Alice", "Carol").replace("Bob", "Dan").replace("12", "99")
+    two = QUESTION.replace("Alice", "Eve").replace("Bob", "Frank").replace("12", "41")
+    longer = one.replace("5 apples, how", "5 red apples, so how")
+    stray = "There the rule says how many apples does Zoe have left over today and so on."
+    clash = one[: one.index(" Dan")] + " Dan one apple. There they ask how many apples does Eve have left over today?"
+    got = leaks(spark, [one + " " + two, longer, QUESTION + " " + stray, one + " Filler words. " * 30 + stray, stray, clash], [QUESTION])
+    assert got == {(0, 0): "reparameterised", (1, 0): "reparameterised", (2, 0): "literal", (3, 0): "reparameterised"}
+
+
 def test_leaks_equal_plain_search(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
