@@ -4,8 +4,8 @@ Markup is stripped to lines (one for each block element); lines inside menus, he
 adverts, forms and comments are struck out first, by element and by class, id or role. The text lengths (link text does
 not count) are summed over windows of WINDOW lines. The surge point is the first line of the first window, the dive point
 the last line of the last window, whose sum is at least the threshold, a fraction of the largest window; blank edges and
-link lists there are trimmed, and a heading right above the surge belongs to it. Where a page marks its article with
-<article> or <main>, the lines inside count as text whatever their length, so the distribution only has to find them.
+link lists there are trimmed, and a heading right above the surge belongs to it. Lines inside <article> or <main> weigh
+their full length and LEAST more; the mark is a bonus, for it may stand around teasers or comments only.
 
 Defined results: a null or empty page has an empty text; broken and unclosed markup is read as far as it goes; an
 unclosed menu ends where the article begins; repeated rows each get their result.
@@ -117,22 +117,21 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
 
 def main_text(page: str | None) -> str:
     found = lines(page or "")
-    marked = any(x[2] for x in found)
-    weights = [(len(t) if inside else 0) if marked else size if size * 2 >= len(t) else 0 for t, size, inside, _ in found]
+    weights = [len(t) + LEAST if inside else size if size * 2 >= len(t) else 0 for t, size, inside, _ in found]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     if not sums or not max(sums):
         return ""
-    least = 1 if marked else min(max(LEAST, FRACTION * max(sums)), max(sums))
+    least = min(max(LEAST, FRACTION * max(sums)), max(sums))
     dense = [i for i, s in enumerate(sums) if s >= least]
     surge, dive = dense[0], min(dense[-1] + WINDOW, len(found)) - 1
-    small = 1 if marked else min(LEAST, max(weights))
+    small = min(LEAST, max(weights))
     while surge < dive and weights[surge] < small:
         surge += 1
     while dive > surge and weights[dive] < small:
         dive -= 1
-    while not marked and surge and found[surge - 1][3]:
+    while surge and found[surge - 1][3]:
         surge -= 1
-    return " ".join(t for i, (t, _, inside, _) in enumerate(found[surge : dive + 1], surge) if not marked or inside)
+    return " ".join(t for t, *_ in found[surge : dive + 1])
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

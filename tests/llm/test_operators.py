@@ -320,6 +320,12 @@ def test_main_text():
     assert html_extract.main_text(bare).startswith("Title here A long") and html_extract.main_text(bare).endswith("many words.")
 
 
+def test_main_text_outside_article_marks():
+    story = [f"Paragraph {k} of the story tells at length what happened on that day in the town." for k in range(6)]
+    page = "<div class=story>" + "".join(f"<p>{x}</p>" for x in story) + "</div><article><p>A teaser.</p></article>"
+    assert all(x in html_extract.main_text(page) for x in story)
+
+
 def test_extraction_of_pages(spark):
     rows = spark.createDataFrame([(1, PAGE), (2, None), (1, PAGE)], "page_id long, html string").withColumns({"text": F.lit("clash"), "url": F.lit(None).cast("string")})
     got = html_extract.extract(rows).collect()
