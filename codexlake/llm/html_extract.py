@@ -3,8 +3,9 @@
 Markup is stripped to lines (one for each block element); lines inside menus, headers, footers, sidebars, notices,
 adverts, forms and comments are struck out first, by element and by class, id or role. The text lengths (link text does
 not count) are summed over windows of WINDOW lines. The surge point is the first line of the first window, the dive point
-the last line of the last window, whose sum is at least the threshold, a fraction of the largest window; blank edges and
-link lists there are trimmed, and a heading right above the surge belongs to it. Lines inside <article> or <main> weigh
+the last line of the last window, whose sum is at least the threshold, a fraction of WINDOW lines of median length; blank
+edges and link lists there are trimmed. Text lines and headings next to the surge and text lines next to the dive belong
+to it, however short. Lines inside <article> or <main> weigh
 their full length and LEAST more; the mark is a bonus, for it may stand around teasers or comments only.
 
 Defined results: a null or empty page has an empty text; broken and unclosed markup is read as far as it goes; an
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from statistics import median
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from ._common import small_batches, table
 
 WINDOW = 3
-#: Of the largest window, and the least sum, in code points.
+#: Of a window of typical lines, and the least sum, in code points.
 FRACTION, LEAST = 0.15, 25
 # Element names and the words of class, id and role.
 HIDDEN = "script style noscript template svg math iframe object canvas audio video select textarea button datalist title"
@@ -121,7 +123,8 @@ def main_text(page: str | None) -> str:
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     if not sums or not max(sums):
         return ""
-    least = min(max(LEAST, FRACTION * max(sums)), max(sums))
+    typical = median([w for w in weights if w >= LEAST] or [0])
+    least = min(max(LEAST, FRACTION * WINDOW * typical), max(sums))
     dense = [i for i, s in enumerate(sums) if s >= least]
     surge, dive = dense[0], min(dense[-1] + WINDOW, len(found)) - 1
     small = min(LEAST, max(weights))
@@ -129,8 +132,11 @@ def main_text(page: str | None) -> str:
         surge += 1
     while dive > surge and weights[dive] < small:
         dive -= 1
-    while surge and found[surge - 1][3]:
+    # text around belongs to it, up to a link list or the edge of an article
+    while surge and (found[surge - 1][3] or (weights[surge - 1] and found[surge - 1][2] == found[surge][2])):
         surge -= 1
+    while dive + 1 < len(found) and weights[dive + 1] and found[dive + 1][2] == found[dive][2]:
+        dive += 1
     return " ".join(t for t, *_ in found[surge : dive + 1])
 
 

@@ -326,6 +326,12 @@ def test_main_text_outside_article_marks():
     assert all(x in html_extract.main_text(page) for x in story)
 
 
+def test_main_text_beside_a_long_block():
+    parts = ["Yes.", *(f"{k} " + "ordinary words " * 13 for k in range(5)), "long " * 2000, *(f"{k} " + "ordinary words " * 13 for k in range(5, 10)), "The end."]
+    page = "<p><a href=1>Home</a> <a href=2>News</a></p>" + "".join(f"<p>{x}</p>" for x in parts) + "<p><a href=3>Privacy</a></p>"
+    assert html_extract.main_text(page) == " ".join(x.strip() for x in parts)
+
+
 def test_extraction_of_pages(spark):
     rows = spark.createDataFrame([(1, PAGE), (2, None), (1, PAGE)], "page_id long, html string").withColumns({"text": F.lit("clash"), "url": F.lit(None).cast("string")})
     got = html_extract.extract(rows).collect()
