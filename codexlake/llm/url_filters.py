@@ -1,6 +1,7 @@
 """URL rules whose block decisions reach the aliases of a page.
 
-Redirect equivalence: the targets of canonical links and of refresh redirects are aliases of the page. Connected
+Redirect equivalence: the targets of canonical links and of refresh redirects, decoded and resolved against the page's url,
+are aliases of the page. Connected
 components over these edges hold the aliases together; a component with a blocked member blocks every member that no
 rule names, unless the component also has an explicitly allowed member, for an allow takes precedence.
 
@@ -54,8 +55,47 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return reduce(lambda a, b: F.coalesce(a, b), fits) if fits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def alias_targets(html: Column) -> Column:
-    """Absolute targets of <link rel=canonical> and of <meta http-equiv=refresh> in a page."""
+def unescaped(text: Column) -> Column:
+    """Text whose character references (numeric, and the named ones of markup and urls) are decoded once."""
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("sol", "/"), ("colon", ":")):
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
+
+    def decoded(done: Column, ref: Column) -> Column:
+        code = F.when(F.lower(ref).startswith("x"), F.conv(F.substr(ref, F.lit(2)), 16, 10)).otherwise(ref).cast("int")
+        valid = (code > 0) & (code != 38) & ((code < 0xD800) | code.between(0xE000, 0x10FFFF))
+        return F.when(valid, F.replace(done, F.concat(F.lit("&#"), ref, F.lit(";")), F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32"))).otherwise(done)
+
+    text = F.aggregate(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), 1), text, decoded)
+    # & last, so that what it begins is not decoded again
+    return F.regexp_replace(text, "&(?:amp|#0*38|#[xX]0*26);", "&")
+
+
+def without_dots(path: Column) -> Column:
+    """An absolute path without its segments . and .. (RFC 3986, 5.2.4)."""
+    step = lambda kept, part: F.when(part == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+    parts = F.split(F.substr(path, F.lit(2)), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    end = F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), end)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The absolute url of a target in the page at url; null for targets in the page itself and urls without ://."""
+    origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    folder = F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
+    path, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    return (
+        F.when((target == "") | target.startswith("#"), F.lit(None).cast("string"))
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.when(target.rlike(r"^[^/?#]*://"), target))
+        .when(target.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?:)//", 1), target))
+        .when(target.startswith("?"), F.concat(origin, path_of(url), target))
+        .when(target.startswith("/"), F.concat(origin, without_dots(path), rest))
+        .otherwise(F.concat(origin, without_dots(F.concat(F.when(folder == "", "/").otherwise(folder), path)), rest))
+    )
+
+
+def alias_targets(html: Column, url: Column) -> Column:
+    """Targets of <link rel=canonical> and of <meta http-equiv=refresh> in the page at url, as absolute urls."""
     canonical = F.transform(
         F.filter(F.regexp_extract_all(html, F.lit(r"(?is)(<link\b[^>]*>)"), 1), lambda t: t.rlike(r"(?is)\brel\s*=\s*[\"']?[^\"'>]*\bcanonical\b")),
         lambda t: F.regexp_extract(t, r"(?is)\bhref" + ATTRIBUTE, 1),
@@ -64,7 +104,7 @@ def alias_targets(html: Column) -> Column:
         F.filter(F.regexp_extract_all(html, F.lit(r"(?is)(<meta\b[^>]*>)"), 1), lambda t: t.rlike(r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh")),
         lambda t: F.regexp_extract(t, r"(?is)\burl" + ATTRIBUTE, 1),
     )
-    return F.filter(F.array_distinct(F.concat(canonical, refresh)), lambda u: u.contains("://"))
+    return F.array_compact(F.transform(F.array_distinct(F.concat(canonical, refresh)), lambda t: resolved(unescaped(t), url)))
 
 
 def alias_key(url: Column) -> Column:
@@ -83,7 +123,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     judged = pages.drop("host", "path", "rule", "verdict", "component").withColumns(own).withColumn("__r", rule_of(F.col("host"), F.col("path"), rules))
     edges = written(
         pages.where(url.contains("://") & F.col(html_col).rlike("(?i)canonical|refresh"))
-        .select(F.xxhash64(alias_key(url)).alias("a"), F.explode(alias_targets(F.col(html_col))).alias("target"))
+        .select(F.xxhash64(alias_key(url)).alias("a"), F.explode(alias_targets(F.col(html_col), url)).alias("target"))
         .select("a", F.xxhash64(alias_key(F.col("target"))).alias("b"), rule_of(host_of(F.col("target")), path_of(F.col("target")), rules)["verdict"].alias("b_verdict"))
     )
     if edges.isEmpty():

@@ -228,6 +228,20 @@ def test_aliases_and_precedence(spark):
     assert url_filters.judge(empty(spark, "page_id long, url string, html string")).count() == 0
 
 
+def test_relative_and_escaped_aliases(spark):
+    link = '<link rel="canonical" href="{}">'
+    base = "https://a.com/x/y/z?q"
+    cases = {
+        "/de/x": "https://a.com/de/x", "//example.com/de/x": "https://example.com/de/x", "w": "https://a.com/x/y/w", "../w?b=../c": "https://a.com/x/w?b=../c", "../../../..": "https://a.com/", "./": "https://a.com/x/y/",
+        "?a=1&amp;b=2": "https://a.com/x/y/z?a=1&b=2", "https://b.com/?a=1&#38;b=&amp;lt;": "https://b.com/?a=1&b=&lt;", "&#x2f;&#1078;&#55296;": "https://a.com/ж&#55296;", "/r?u=http://c.com": "https://a.com/r?u=http://c.com", "#top": None, "mailto:x@y.z": None,
+    }
+    rows = spark.createDataFrame([(base, link.format(t)) for t in cases], "url string, html string")
+    got = [r.t for r in rows.select(url_filters.alias_targets(F.col("html"), F.col("url")).alias("t")).collect()]
+    assert got == [[w] if w else [] for w in cases.values()]
+    pages = [(1, "https://bad.net/x?a=1&b=2", "plain"), (2, "https://a.com/1", link.format("//bad.net/x?a=1&amp;b=2")), (3, "https://a.com/2", '<meta http-equiv="refresh" content="0; url=1">')]
+    assert {r.page_id: r.verdict for r in url_filters.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()} == {1: "block", 2: "block", 3: "block"}
+
+
 # secret scans
 
 
