@@ -56,6 +56,19 @@ def crawl(rows: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     return feeds, books
 
 
+def crawl_totals(rows: DataFrame, root: str, expected: int | None = None) -> DataFrame:
+    """One row: feeds, max_depth, nav_rows, book_rows and unique_books of the reached feeds, and as_expected: whether the
+    books are as many as expected (null: nothing expected)."""
+    feeds, books = crawl(rows, root)
+    own = rows.join(feeds, "feed", "left_semi").agg(F.count_if(F.col("kind") == "NAV").alias("nav_rows"), F.count_if(F.col("kind") == "BOOK").alias("book_rows"))
+    return (
+        feeds.agg(F.count("*").alias("feeds"), F.max("depth").alias("max_depth"))
+        .crossJoin(own)
+        .crossJoin(books.agg(F.count("*").alias("unique_books")))
+        .withColumn("as_expected", F.col("unique_books") == F.lit(expected).cast("long"))
+    )
+
+
 def walk(rows: DataFrame, root: str, steps: int = 12) -> DataFrame:
     """(step, feed, kind, href): at each feed the first book ends the walk, else the first navigation row that is no page link
     is followed, at most `steps` times."""

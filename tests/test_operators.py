@@ -147,3 +147,17 @@ def test_relational_on_empty_tables(spark):
     empty = spark.createDataFrame([], "k string, pos long, v string")
     assert relational.keep_first(empty, ["k"]).count() == 0 and relational.paged(empty, ["k"], ["pos"]).count() == 0
     assert relational.duplicates(empty, "k").count() == 0 and graph.reachable(spark.createDataFrame([], "src string, dst string"), empty.select(F.col("k").alias("node"))).count() == 0
+
+
+def test_crawl_totals(spark):
+    rows = spark.createDataFrame([("a", 0, "NAV", "b"), ("a", 1, "NAV", "c"), ("b", 0, "BOOK", "x"), ("b", 1, "BOOK", "y"), ("c", 0, "BOOK", "x"), ("c", 1, "NAV", "a"), ("far", 0, "BOOK", "z")], "feed string, pos long, kind string, href string")
+    assert [tuple(graph.crawl_totals(rows, "a", n).first()) for n in (2, 3, None)] == [(3, 1, 3, 3, 2, x) for x in (True, False, None)]
+
+
+def test_collection_titles_become_book_titles(spark):
+    page = "<html xmlns='http://www.w3.org/1999/xhtml'><head><title>{}</title></head><body><p>x</p></body></html>"
+    docs = spark.createDataFrame([(1, page.format("Тво ри. Том II"), "Book"), (2, page.format("Own"), "Book"), (3, page.format("Твори"), None)], "doc_id long, html string, book_title string")
+    docs = docs.withColumns({"strip_notes": F.lit(False), "strip_images": F.lit(False), "keep_markers": F.array().cast("array<string>")})
+    for frame, wanted in ((docs, ["Book", "Own", "Твори"]), (docs.drop("book_title"), ["Тво ри. Том II", "Own", "Твори"])):
+        got = html_tree.clean_documents(frame).orderBy("doc_id").collect()
+        assert all(f"{t}</" in r.html for r, t in zip(got, wanted))
