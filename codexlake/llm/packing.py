@@ -133,6 +133,17 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, n
     return float(best[room]), pattern
 
 
+def triangular_inverse(u: np.ndarray) -> np.ndarray:
+    """The inverse of an upper triangular matrix, from the last row up.
+
+    Without linear algebra routines: their thread pool does not survive the fork that starts a JVM in the same process.
+    """
+    out = np.eye(len(u))
+    for i in range(len(u) - 1, -1, -1):
+        out[i] = (out[i] - (u[i, i + 1 :, None] * out[i + 1 :]).sum(0)) / u[i, i]
+    return out
+
+
 def column_generation(sizes: np.ndarray, counts: np.ndarray, room: int, gap: float = 1e-4, steps: int = 5000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns) and how often each is used, in real numbers: a basic solution within gap of the bound."""
     m = len(sizes)
@@ -148,13 +159,13 @@ def column_generation(sizes: np.ndarray, counts: np.ndarray, room: int, gap: flo
                 columns[j, i] = 1
                 left[j] -= x[i]
                 free -= sizes[j]
-    inverse = np.linalg.inv(columns)
+    inverse = triangular_inverse(columns)
     for _ in range(steps):
         prices = inverse.sum(0)
         value, pattern = knapsack(prices, sizes, room)
         if value <= 1 + gap:  # the total divided by value is a lower bound
             break
-        d = inverse @ pattern
+        d = (inverse * pattern).sum(1)
         ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
         r = int(ratio.argmin())
         if not np.isfinite(ratio[r]):
