@@ -1,25 +1,34 @@
 """N-gram Jaccard self-join by universe partitioning.
 
 A document's set holds the 64-bit hashes of its distinct word shingles. Sets are put into size bands of ratio 1 / threshold,
-so partners stand in one band or in neighbouring ones. For a band the universe of hashes is cut into segments: two sets
-within the threshold differ in at most U elements, so with segments whose allowances (0 for an exact one, 1 for one with a
-one-deletion neighbourhood) sum, each plus one, to more than U, some segment of both agrees within its allowance. The number
-of one-deletion segments of a band is chosen by cost: signatures against the false partners that its number of sets leads
-one to expect. Each set sends the signatures of its own band's scheme and of the next lower one's.
+so partners stand in one band or in neighbouring ones. For a band the universe of hashes is cut into segments, some of them
+with one-deletion neighbourhoods; how many of either is chosen by cost (signatures against expected false partners). Each
+set sends the signatures of its own band's scheme and of the next lower one's.
+
+Only strong signatures are sent, those of LEAST elements or more; others say so little that their groups would grow with the
+corpus. A segment withstands as many differences as its strong signatures cover: none if its own is strong, one if all its
+deletions are strong too. Two sets within the threshold differ in at most U elements, so if the numbers of differences that
+a set's segments withstand, each plus one, sum to more than U, some segment of both agrees within its allowance, by the
+pigeonhole principle. A set whose segments by chance sum to less is signed again by another, independent partition (its
+next level); partners meet at the first level that is enough for one of them. A set for which no level is enough sends its
+weak signatures of the last level too, for which the segments of all such sets do.
 
 Equal sets are one class from the start. Links between classes are found in two steps, each verified exactly on the sets:
 
-1. Stars: in every signature group (of two elements or more) the members of other components than the least one are
-   compared with the group's leader, each member with few of its leaders; components are joined; this runs STAR_ROUNDS times with other leaders.
+1. Stars: in every signature group the members of other components than the least one are compared with the group's
+   leader, each member with few of its leaders; components are joined; this runs STAR_ROUNDS times with other leaders.
 2. The rest: groups that still hold several components are joined with themselves across components only, behind a size
-   test and a lower bound of the difference from parity sketches. Nothing is skipped, so no link between components is lost.
+   test and a lower bound of the difference from parity sketches. A set leaves the groups of more than CROWD members (those
+   of passages that many texts share) if its other segments still sum to more than U, for then it meets its partners
+   there; other sets stay. Nothing is skipped, so no link between components is lost.
 
-Classes are known by 64 bits of a sum over their set, equality by 128 and the size; for 10**9 different texts a mix-up of
-two classes has a chance of about 3 %, of two signatures it only costs a comparison.
+Classes are known by 64 bits of a sum over their set and its size; for 10**9 different texts a mix-up of two classes has a
+chance of about 3 %, of two signatures it only costs a comparison.
 
 Defined results: null or empty texts have no shingles and are components of their own; with fewer words than a shingle the
-whole sequence is the one shingle; a null id gets a null component; rows that share an id are one node; other columns do
-not matter; an empty table gives an empty result.
+whole sequence is the one shingle; a null id gets a null component; rows with one id are one node, linked through their
+texts, whatever these are (with link_ids=False each is a node); ids are integers; texts of any length are read as a whole;
+other columns do not matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,8 +49,15 @@ CACHE = 400_000
 STAR_ROUNDS = 3
 #: Leaders that a member is compared with in a round after the first; what they miss is left to step 2, which is exact.
 LEADERS = 6
+#: Members of a signature group from which on sets leave it that meet their partners elsewhere.
+CROWD = 32
+#: Elements of a strong signature, and independent partitions for sets that have too few of them.
+LEAST, LEVELS = 2, 8
 #: Cost of a false partner, in signatures: it falls to the sketches inside the join, a signature is shuffled.
 PARTNER_COST = 0.05
+#: Chance that an element of a set stands in another set of no kinship, for the cost of an allocation only.
+COMMON = 1e-3
+NO_ID = -(2**63)
 SKETCH = 8  # 64-bit words of the parity sketch
 _MIX1, _MIX2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 _S33 = np.uint64(33)
@@ -54,11 +70,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S33)
 
 
-def marked(signatures: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The lowest bit says whether the signature stands for two elements at least; others say little of their sets."""
-    return (signatures & ~np.uint64(1)) | (sizes > 1).astype(np.uint64)
-
-
 class Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > CACHE:
@@ -105,18 +116,47 @@ class Threshold:
         return both * self.den >= (len(a) + len(b) - both) * self.num
 
 
-def allocate(low: int, high: int, differ: int, sets: int) -> tuple[int, int]:
-    """(segments, how many of them have one-deletion neighbourhoods) of least cost for a band with so many sets."""
-    best = None
-    for deep in range(0, (differ + 1) // 2 + 1):
-        m = differ + 1 - deep
-        size = (low + high) / 2 / m
-        signatures = m - deep + deep * (1 + size)
-        partners = sets * (m * np.exp(-2 * size))  # both segments empty
-        cost = signatures + PARTNER_COST * partners
-        if best is None or cost < best[0]:
-            best = (cost, m, deep)
-    return best[1], best[2]
+class Allocation:
+    """A band's scheme: so many segments, of which the first `deep` have one-deletion neighbourhoods."""
+
+    def __init__(self, segments: int, deep: int):
+        self.segments, self.deep = segments, deep
+
+    def withstood(self, sizes: np.ndarray) -> np.ndarray:
+        """The differences, plus one, that a set's strong signatures withstand; sizes: elements of its segments, the last axis."""
+        return (sizes >= LEAST).sum(-1) + (sizes[..., : self.deep] > LEAST).sum(-1)
+
+    def signatures(self, sizes: np.ndarray) -> np.ndarray:
+        few = sizes[..., : self.deep]
+        return (sizes >= LEAST).sum(-1) + np.where(few > LEAST, few, 0).sum(-1)
+
+    def cost(self, cases: list[tuple[int, int]], sets: int, random: np.random.Generator, draws: int = 24) -> float:
+        """Signatures of a set, with those of further levels, and the price of its false partners; cases: (size, U)."""
+        total = 0.0
+        for size, differ in cases:
+            sizes = random.multinomial(size, np.full(self.segments, 1 / self.segments), draws)
+            enough = max((self.withstood(sizes) > differ).mean(), 0.5 / draws)
+            weakest = np.where(sizes >= LEAST, COMMON ** np.minimum(sizes, 40), 0.0).sum(-1).mean()
+            empty = self.segments * np.exp(-2 * size / self.segments)
+            partners = sets * (weakest / enough + empty * (1 - enough) ** (2 * LEVELS))
+            total += self.signatures(sizes).mean() / enough + PARTNER_COST * partners
+        return total / len(cases)
+
+
+def allocate(low: int, high: int, threshold: Threshold, sets: int) -> Allocation:
+    """The allocation of least cost for a band with so many sets."""
+    up = lambda n: n * threshold.den // threshold.num
+    most = threshold.differ(high + up(high))
+    above = min(up(high), high + 1 + high // 10)
+    cases = [(n, threshold.differ(n + up(n))) for n in sorted({low, (low + high) // 2, high})] + [(above, threshold.differ(above + high))]
+    enough = lambda m: m * (1 - np.exp(-low / m) * (1 + low / m)) > 0.85 * cases[0][1]
+    tried = range(1, high + 1) if high <= 24 else [m for s in (9, 8, 7, 6, 5, 4.5, 4, 3.5, 3.2, 3, 2.8, 2.6, 2.4, 2.2, 2, 1.8) if enough(m := int(-(-high // s)))][:6] or [high // 2]
+    shapes = [Allocation(m, deep) for m in tried for deep in (sorted({0, m // 4, m // 2, m}) if high <= 400 or sets > 10**6 else (0,)) if m + deep > most]
+    shapes = shapes or [Allocation(most + 1, 0)]
+    if not sets:
+        return shapes[0]
+    random = np.random.default_rng(high)
+    return min(shapes, key=lambda a: a.cost(cases, sets, random))
 
 
 class Schemes:
@@ -128,32 +168,47 @@ class Schemes:
         self.plans = []
         for k, (low, high) in enumerate(self.bands):
             differ = threshold.differ(high + high * threshold.den // threshold.num)
-            self.plans.append(None if differ == 0 else allocate(low, high, differ, counts.get(k, 0) + counts.get(k + 1, 0)))
+            self.plans.append(None if differ == 0 else allocate(low, high, threshold, counts.get(k, 0) + counts.get(k + 1, 0)))
 
     def band(self, size: int) -> int:
         return int(np.searchsorted(self.highs, size))
 
-    def of_scheme(self, h: np.ndarray, k: int) -> np.ndarray:
+    def of_scheme(self, h: np.ndarray, k: int) -> tuple[list[np.ndarray], int, int]:
+        """(signatures, last level, room): room is how many signatures of the last level the set can do without.
+
+        The lowest bit of a signature is that of its band's number, the next three are its level.
+        """
         if k < 0 or k >= len(self.plans) or self.plans[k] is None:
-            return np.zeros(0, np.uint64)
-        m, deep = self.plans[k]
-        token = mixed(h + _GOLD)
-        segment = ((mixed(h * _GOLD + np.uint64(k)) >> np.uint64(32)) % np.uint64(m)).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
-        ends = np.concatenate([[np.uint64(0)], np.cumsum(token[order], dtype=np.uint64)])
-        bounds = np.searchsorted(segment[order], np.arange(m + 1))
-        sums = ends[bounds[1:]] - ends[bounds[:-1]]
-        tag = mixed(np.full(m, k, np.uint64) * _MIX1 + np.arange(m, dtype=np.uint64))
-        size = np.diff(bounds)
-        out = [marked(mixed(sums ^ tag), size)]
-        if deep:
-            few = order[: bounds[deep]]
-            out.append(marked(mixed((sums[segment[few]] - token[few]) ^ tag[segment[few]]), size[segment[few]] - 1))
-        return np.unique(np.concatenate(out))
-
-    def signatures(self, h: np.ndarray) -> np.ndarray:
+            return [], 0, -1
+        plan, t = self.plans[k], self.threshold
+        partner = min(len(h) * t.den // t.num, int(self.highs[k]) if len(h) > self.highs[k] else len(h) * t.den // t.num)
+        differ, token, out = t.differ(len(h) + partner), mixed(h + _GOLD), []
+        for level in range(LEVELS):
+            segment = ((mixed(h * _GOLD + np.uint64(k + 4096 * level)) >> np.uint64(32)) % np.uint64(plan.segments)).astype(np.int64)
+            size = np.bincount(segment, minlength=plan.segments)
+            order = np.argsort(segment, kind="stable")
+            ends = np.concatenate([[np.uint64(0)], np.cumsum(token[order], dtype=np.uint64)])
+            bounds = np.concatenate([[0], np.cumsum(size)])
+            sums = ends[bounds[1:]] - ends[bounds[:-1]]
+            tag = mixed(np.full(plan.segments, k + 4096 * level, np.uint64) * _MIX1 + np.arange(plan.segments, dtype=np.uint64))
+            room = int(plan.withstood(size)) - 1 - differ
+            least = 0 if room < 0 and level == LEVELS - 1 else LEAST
+            bits = np.uint64((k & 1) + 2 * level)
+            some = size >= least
+            few = order[: bounds[plan.deep]]
+            few = few[size[segment[few]] > least]
+            for x in (sums[some] ^ tag[some], (sums[segment[few]] - token[few]) ^ tag[segment[few]]):
+                out.append((mixed(x) & ~np.uint64(15)) | bits)
+            if room >= 0:
+                break
+        return out, level, room
+
+    def signatures(self, h: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The signatures of both schemes, and (last level, room) of the schemes with even, then with odd numbers."""
         k = self.band(len(h))
-        return np.concatenate([self.of_scheme(h, k), self.of_scheme(h, k - 1)])
+        own, lower = self.of_scheme(h, k), self.of_scheme(h, k - 1)
+        both = [lower, own] if k & 1 else [own, lower]
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *own[0], *lower[0]])), [x for b in both for x in b[1:]]
 
 
 def sketch(h: np.ndarray) -> np.ndarray:
@@ -186,25 +241,28 @@ def size_counts(texts: DataFrame, n: int, threshold: Threshold) -> tuple[dict[in
 
 
 def sets(docs: DataFrame, n: int, schemes: Schemes | None = None) -> DataFrame:
-    """docs: (id, t). With schemes (id, n, f1, f2, s0.., sigs), without (id, n, h): h is the set itself as bytes."""
+    """docs: (id, t). With schemes (id, th, n, f1, s0.., wide, room, sigs), without (id, f1, h): h is the set as bytes, th a hash of the text."""
 
     def run(batches):
         words = Words()
         for b in batches:
             rows = []
-            for i, t in zip(b["id"], b["t"]):
+            for i, th, t in zip(b["id"], b["th"], b["t"]):
                 h = shingles(t, n, words)
+                f1 = int(mixed(mixed(h + np.uint64(1)).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(h)))[0].astype(np.int64))
                 if schemes is None:
-                    rows.append((i, len(h), h.tobytes()))
+                    rows.append((i, f1, h.tobytes()))
                 else:
-                    f1, f2 = (int(mixed(mixed(h + np.uint64(k)).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(h)))[0].astype(np.int64)) for k in (1, 2))
-                    rows.append((i, len(h), f1, f2, *map(int, sketch(h)), wide_sketch(h), schemes.signatures(h).astype(np.int64) if len(h) else np.zeros(0, np.int64)))
+                    sigs, room = schemes.signatures(h)
+                    rows.append((i, th, len(h), f1, *map(int, sketch(h)), wide_sketch(h), room, sigs.astype(np.int64)))
             yield pd.DataFrame(rows, columns=names)
 
-    names = ["id", "n", "h"] if schemes is None else ["id", "n", "f1", "f2", *[f"s{k}" for k in range(SKETCH)], "wide", "sigs"]
-    kinds = {"h": "binary", "wide": "binary", "sigs": "array<long>"}
+    names = ["id", "f1", "h"] if schemes is None else ["id", "th", "n", "f1", *[f"s{k}" for k in range(SKETCH)], "wide", "room", "sigs"]
+    kinds = {"h": "binary", "wide": "binary", "room": "array<int>", "sigs": "array<long>"}
     small_batches(docs.sparkSession)
-    return docs.select("id", "t").mapInPandas(run, ", ".join(f"{c} {kinds.get(c, 'long')}" for c in names))
+    # a null among integers would make pandas turn them into doubles
+    numbered = docs.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), F.xxhash64("t").alias("th"), "t")
+    return numbered.mapInPandas(run, ", ".join(f"{c} {kinds.get(c, 'long')}" for c in names)).withColumn("id", F.nullif("id", F.lit(NO_ID)))
 
 
 def verified(pairs: DataFrame, held: DataFrame, threshold: Threshold) -> DataFrame:
@@ -241,18 +299,32 @@ def near_enough(threshold: Threshold):
     return sizes & (sum(bits[1:], bits[0]) * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num))
 
 
-def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every document: links are pairs of sets with a similarity of at least num / den."""
+def without_crowds(rest: DataFrame, classes: DataFrame) -> DataFrame:
+    """rest: (sig, f1, c). Without the rows of crowded groups whose sets meet their partners at their other signatures."""
+    crowds = written(rest.groupBy("sig").count().where(F.col("count") > CROWD).select("sig"))
+    if crowds.isEmpty():
+        return rest
+    parity, level = F.col("sig").bitwiseAND(F.lit(1)).cast("int"), F.shiftright("sig", 1).bitwiseAND(F.lit(7)).cast("int")
+    inside = written(rest.join(crowds, "sig").select("sig", "f1", parity.alias("parity"), level.alias("level")))
+    room = classes.select("f1", "room")
+    last, spare = F.element_at("room", F.col("parity") * 2 + 1), F.element_at("room", F.col("parity") * 2 + 2)
+    leave = inside.groupBy("f1", "parity", "level").count().join(room, "f1").where((F.col("level") == last) & (F.col("count") <= spare)).select("f1", "parity", "level")
+    return rest.join(inside.join(leave, ["f1", "parity", "level"]).select("sig", "f1"), ["sig", "f1"], "left_anti")
+
+
+def components_of_rows(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str, link_ids: bool) -> DataFrame:
+    """(id, th, n, component, component_id) of every row; component is null without an id or words."""
     threshold = Threshold(num, den)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    signed = written(sets(texts, n, Schemes(threshold, *size_counts(texts, n, threshold))))
-    narrow = signed.drop("sigs")
-    base = written(narrow.drop("wide"))
+    schemes = Schemes(threshold, *size_counts(texts, n, threshold))
+    signed = written(sets(texts, n, schemes))
+    used = signed.where("n > 0 AND id IS NOT NULL")
     words = [f"s{k}" for k in range(SKETCH)]
-    classes = written(narrow.where("n > 0 AND id IS NOT NULL").groupBy("f1").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("wide").alias("wide"), *[F.min(s).alias(s) for s in words]))
+    base = written(signed.select("id", "th", "n", "f1"))
+    classes = written(used.drop("sigs").groupBy("f1").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("room").alias("room"), F.min("wide").alias("wide"), *[F.min(s).alias(s) for s in words]))
 
     # signature groups with several classes
-    exploded = signed.where("n > 0 AND id IS NOT NULL").select("f1", F.explode("sigs").alias("sig"))
+    exploded = used.select("f1", F.explode("sigs").alias("sig"))
     groups = written(exploded.groupBy("sig").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi")).where("lo <> hi").select("sig"))
     members = written(exploded.join(groups, "sig").distinct())
     forget(groups, signed)
@@ -265,6 +337,9 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
         return pairs.join(sides[0], F.col("a") == F.col("f1_a")).join(sides[1], F.col("b") == F.col("f1_b")).where(near_enough(threshold)).select("a", "b")
 
     component = links = held = None
+    if link_ids:
+        shared = base.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi")).where("lo <> hi")
+        links = written(base.where("n > 0").join(shared, "id").select(F.col("lo").alias("a"), F.col("f1").alias("b")).where("a <> b").distinct())
     for round_ in range(STAR_ROUNDS + 1):
         last = round_ == STAR_ROUNDS
         labelled = members.withColumn("c", F.col("f1"))
@@ -272,18 +347,18 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
             labelled = written(members.join(component.withColumnRenamed("node", "f1"), "f1", "left").withColumn("c", F.coalesce("component", "f1")).drop("component"), m)
         # a member of the least component leads its group: the least one at first, then others by chance, lest the same pairs return
         turn = F.xxhash64("f1", "sig", F.lit(round_)) if round_ else F.col("f1")
-        used = labelled if last else labelled.where(F.col("sig").bitwiseAND(F.lit(1)) == 1)
-        open_groups = written(used.groupBy("sig").agg(F.min(F.struct("c", turn.alias("turn"), "f1")).alias("least"), F.max("c").alias("most")).where("least.c <> most").select("sig", F.col("least.c").alias("lc"), F.col("least.f1").alias("lf")), m)
-        open_ = used.join(open_groups, "sig")
+        open_groups = written(labelled.groupBy("sig").agg(F.min(F.struct("c", turn.alias("turn"), "f1")).alias("least"), F.max("c").alias("most")).where("least.c <> most").select("sig", F.col("least.c").alias("lc"), F.col("least.f1").alias("lf")), m)
+        open_ = labelled.join(open_groups, "sig")
         if not last:
             leaders = open_.where("c <> lc").groupBy(F.col("f1").alias("b")).agg(F.array_sort(F.collect_set("lf")).alias("lf"))
             proposed = written(leaders.select("b", F.explode(F.slice("lf", 1, LEADERS if round_ else 1)).alias("a")), m)
             pairs = written(plausible(proposed), m)
         else:
-            rest = written(open_.select("sig", "f1", "c").join(known, "f1"))
+            met = written(without_crowds(written(open_.select("sig", "f1", "c"), m), classes), m)
+            rest = written(met.join(known, "f1"))
             a, b = (rest.select("sig", *[F.col(x).alias(f"{x}_{side}") for x in ("f1", "c", "n", *words)]) for side in "ab")
             pairs = written(a.join(b, "sig").where((F.col("c_a") < F.col("c_b")) & near_enough(threshold)).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b")).distinct())
-            forget(rest)
+            forget(met, rest)
         loose, pairs = pairs, written(sketched(pairs, classes, threshold), pairs.count())
         n_pairs = pairs.count()
         log.info("round %d: %d pairs compared", round_, n_pairs)
@@ -292,7 +367,8 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
         if held is not None:
             wanted = wanted.join(held.select("f1"), "f1", "left_anti")
         wanted = written(classes.join(wanted, "f1", "left_semi").select("f1", "id"), 2 * n_pairs)
-        more = written(sets(texts.join(wanted.select("id").distinct(), "id", "left_semi"), n).withColumnRenamed("n", "size").join(wanted, "id").select("f1", "h"))
+        # a row of the same id may hold another text, hence the join on both; equal rows give equal sets
+        more = written(sets(texts.join(wanted.select("id").distinct(), "id", "left_semi"), n).join(wanted, ["id", "f1"], "left_semi").select("f1", "h"))
         held = more if held is None else held.unionByName(more)
         new = written(verified(pairs, held, threshold), n_pairs)
         links = new if links is None else links.unionByName(new)
@@ -302,9 +378,36 @@ def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id
     # the least id of each component, then of each class
     own = classes.join(component.withColumnRenamed("node", "f1"), "f1", "left").select("f1", "id", F.coalesce("component", "f1").alias("component"))
     least = own.groupBy("component").agg(F.min("id").alias("component_id"))
-    final = written(own.join(least, "component").select("f1", "component_id"))
+    final = written(own.join(least, "component").select(F.col("f1").alias("key"), "component", "component_id"))
     fine = base.withColumn("key", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("f1")))
-    return fine.join(final.withColumnRenamed("f1", "key"), "key", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    return fine.join(final, "key", "left").select("id", "th", "n", "component", F.coalesce("component_id", "id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every document: links are pairs of sets with a similarity of at least num / den."""
+    rows = components_of_rows(docs, n, num, den, id_col, text_col, True)
+    return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each component, that of the least id; rows without an id or words all stay, but for repeated ones.
+
+    Here texts under one id are nodes of their own, so that different ones both stay; of one component the row with the
+    least hash of the text stays, of rows equal in id and text any one.
+    """
+    rows = written(components_of_rows(docs, n, num, den, id_col, text_col, False).where("id IS NOT NULL").groupBy("id", "th", "component").agg(F.count("*").alias("times")))
+    first = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("id", "th")).alias("first"), F.count("*").alias("members")).where("members > 1")
+    others = rows.join(first.select("component", "first"), "component").where((F.col("first.id") != F.col("id")) | (F.col("first.th") != F.col("th"))).select("id", "th")
+    apart = lambda t: t.select(F.col("id").alias(name_id), F.col("th").alias(name_th))
+    name_id, name_th = (f"_{c}_{len(''.join(docs.columns))}" for c in ("id", "th"))
+    key = (F.col(id_col).cast("long") == F.col(name_id)) & (F.xxhash64(F.col(text_col)) == F.col(name_th))
+    kept = docs.join(apart(written(others)), key, "left_anti")
+    often = written(rows.where("times > 1").select("id", "th"))
+    if often.isEmpty():
+        return kept
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    twice = kept.join(apart(often), key, "left_semi").groupBy(id_col, text_col).agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in rest])
+    return kept.join(apart(often), key, "left_anti").unionByName(twice.select(docs.columns))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
