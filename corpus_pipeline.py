@@ -20,19 +20,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents whose sets of five-word shingles have a similarity of 0.8 or more, the least id."""
-    found = written(ngram_jaccard.near_duplicates(docs, n=5, num=4, den=5).where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns).transform(_one_row_an_id)
-
-
-def _one_row_an_id(docs: DataFrame) -> DataFrame:
-    """Rows that share an id are one document; of them the greatest row by text stays. Rows without an id all stay."""
-    often = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if often.isEmpty():
-        return docs
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    twice = docs.join(often, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct("text", *rest)).alias("r")).select("doc_id", "r.*")
-    return docs.join(often, "doc_id", "left_anti").select(docs.columns).unionByName(twice.select(docs.columns))
+    """Of each component of texts whose sets of five-word shingles have a similarity of 0.8 or more, that of the least id.
+
+    Rows without an id all stay, and so do different texts that share an id; of rows equal in id and text one stays.
+    """
+    return ngram_jaccard.one_of_each(docs, n=5, num=4, den=5)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
