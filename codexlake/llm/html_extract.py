@@ -8,14 +8,22 @@ edges and link lists there are trimmed. Text lines and headings next to the surg
 to it, however short. Lines inside <article> or <main> weigh
 their full length and LEAST more; the mark is a bonus, for it may stand around teasers or comments only.
 
-Defined results: a null or empty page has an empty text; broken and unclosed markup is read as far as it goes; an
-unclosed menu ends where the article begins; repeated rows each get their result.
+A class, id or role strikes a block by the noun that it ends in: site-footer and ad-slot do (slot is a mere container),
+share-price and menu-history do not, nor do names with article, post, entry or story.
+
+The page is read once from start to end. Scripts, styles and the like run to their end tag; a script, style, title or text
+area without one runs to the end of the page, other such elements without one, and comments without an end, are read as
+mere tags. Where quotation marks in a tag are not closed up to the end of the page, tags end at the next > from there on.
+
+Defined results: a null or empty page has an empty text; an unclosed menu ends where the article begins; repeated rows each
+get their result; very long pages take time in proportion to their length.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from statistics import median
 
 import pandas as pd
@@ -28,34 +36,86 @@ WINDOW = 3
 #: Of a window of typical lines, and the least sum, in code points.
 FRACTION, LEAST = 0.15, 25
 # Element names and the words of class, id and role.
-HIDDEN = "script style noscript template svg math iframe object canvas audio video select textarea button datalist title"
+RAW = "script style title textarea"
+HIDDEN = RAW + " noscript template svg math iframe object canvas audio video select button datalist"
 STRUCK = "nav header footer aside form dialog menu head"
 BLOCKS = "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul"
 STRUCK_WORDS = "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted cookie cookies consent gdpr notice alert popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments disqus respond reply replies share sharing social related recommended newsletter subscribe signup login search toolbar pagination pager widget toc skip complementary contentinfo"
+CONTAINERS = "area bar block body bottom box cell column container content group holder inner item items left link links list outer panel region right row section slot space top unit view wrap wrapper zone"
+STORY_WORDS = "article post entry story"
 VOID = "area base br col embed hr img input link meta source track wbr"
 
-_HIDDEN = re.compile(rf"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<({HIDDEN.replace(' ', '|')})\b[^>]*>.*?</\1\s*>", re.S | re.I)
-_TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[/!?a-zA-Z][^>]*+>""")
+_TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>")
+_OTHER = re.compile(r"<[/!?][^>]*+>")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
-_STRUCK, _BLOCKS, _VOID, _WORDS = set(STRUCK.split()), set(BLOCKS.split()), set(VOID.split()), set(STRUCK_WORDS.split())
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_WORD = re.compile(r"[a-z]+")
+_STRUCK, _BLOCKS, _VOID, _HIDDEN, _RAW = set(STRUCK.split()), set(BLOCKS.split()), set(VOID.split()), set(HIDDEN.split()), set(RAW.split())
+_WORDS, _CONTAINERS, _STORY = set(STRUCK_WORDS.split()), set(CONTAINERS.split()), set(STORY_WORDS.split())
+_ENDS = {name: re.compile(rf"</{name}\b[^>]*+>", re.I) for name in _HIDDEN}
+_INLINE, _WALLS = set("p b i em strong span".split()), set("article main div section nav footer aside header".split())
 _HEADS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
+def _names_furniture(name: str) -> bool:
+    """Whether a class, id or role says menu, advert and so on: by its last word that is not a mere container."""
+    words = _WORD.findall(_CAMEL.sub(" ", name).lower())
+    if _STORY.intersection(words):
+        return False
+    while len(words) > 1 and words[-1] in _CONTAINERS:
+        words.pop()
+    return bool(words) and words[-1] in _WORDS
+
+
 def _struck(name: str, attributes: str) -> bool:
     if name in _STRUCK:
         return True
     if name in ("body", "html", "main", "article") or "=" not in attributes:
         return False
-    found = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes))
-    return bool(found) and any(w in _WORDS for w in _SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1 \2", found).lower()))
+    return any(_names_furniture(x) for found in _NAMES.findall(attributes) for x in "".join(found).split())
+
+
+def tags(page: str):
+    """(start, end, closing, name, attributes) of every tag; hidden elements and comments are one nameless tag each."""
+    at, pattern, endless, last = 0, _TAG, set(), page.rfind(">")
+    while 0 <= (start := page.find("<", at)) < last:
+        at = start + 1
+        if page.startswith(("<!--", "<![CDATA["), start):
+            mark = "-->" if page[start + 2] == "-" else "]]>"
+            end = page.find(mark, start) if mark not in endless else -1
+            if end >= 0:
+                at = end + 3
+                yield start, at, False, "", ""
+                continue
+            endless.add(mark)
+        m = pattern.match(page, start)
+        if m is None and pattern is _TAG and page[at : at + 2].strip("/")[:1].isalpha() and _PLAIN.match(page, start):
+            pattern = _PLAIN
+            m = pattern.match(page, start)
+        if m is None:
+            if m := _OTHER.match(page, start):
+                at = m.end()
+                yield start, at, False, "", ""
+            continue
+        at, name = m.end(), m[2].lower()
+        if name in _HIDDEN and not m[1] and not m[3].endswith("/"):
+            end = _ENDS[name].search(page, at) if name not in endless else None
+            if end is None:
+                endless.add(name)
+            if end is not None or name in _RAW:
+                at = end.end() if end is not None else len(page)
+                yield start, at, False, "", ""
+                continue
+        yield start, at, bool(m[1]), name, m[3]
 
 
 def lines(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, code points outside links, in an article element, heading) of every line that is not struck out."""
-    page = _HIDDEN.sub(" ", page) if "<" in page else page
     out: list[tuple[str, int, bool, bool]] = []
     stack: list[str] = []
+    where: dict[str, list[int]] = defaultdict(list)  # the places of each name in the stack
+    walls: list[int] = []  # the places of elements that a stray inline end tag does not close
     parts: list[tuple[str, bool]] = []
     struck = link = article = 0  # struck: depth of the stack at which the struck element stands, 0 none
     head = False
@@ -63,27 +123,29 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
 
     def close() -> None:
         if parts:
-            text = " ".join(html.unescape("".join(p for p, _ in parts)).split())
+            text = " ".join("".join(p for p, _ in parts).split())
             if text:
-                linked = " ".join(html.unescape("".join(p for p, a in parts if a)).split())
+                linked = " ".join("".join(p for p, a in parts if a).split())
                 out.append((text, len(text) - len(linked), article > 0, head))
             parts.clear()
 
-    for m in _TAG.finditer(page):
-        if m.start() > at and not struck:
-            parts.append((page[at : m.start()], link > 0))
-        at = m.end()
-        if not m[2]:
+    for start, end, closing, name, attributes in tags(page):
+        if start > at and not struck:
+            parts.append((html.unescape(page[at:start]), link > 0))
+        at = end
+        if not name:
             continue
-        name = m[2].lower()
         if name in _BLOCKS:
             close()
-        if m[1]:
-            if name in stack:
-                if name in ("p", "b", "i", "em", "strong", "span") and any(x in ("article", "main", "div", "section", "nav", "footer", "aside", "header") for x in stack[len(stack) - stack[::-1].index(name) :]):
-                    continue  # a stray end tag does not close what stands around it
+        if closing:
+            if where[name]:
+                if name in _INLINE and walls and walls[-1] > where[name][-1]:
+                    continue
                 while stack:
                     top = stack.pop()
+                    where[top].pop()
+                    if walls and walls[-1] == len(stack):
+                        walls.pop()
                     if top == "a":
                         link = max(0, link - 1)
                     elif top in ("article", "main"):
@@ -95,7 +157,7 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
                     if top == name:
                         break
             continue
-        if name in _VOID or m[3].endswith("/"):
+        if name in _VOID or attributes.endswith("/"):
             continue
         if name in ("article", "main"):
             struck = 0 if struck and stack[struck - 1] in ("nav", "header", "menu", "head") else struck  # an unclosed menu
@@ -104,15 +166,19 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             struck = 0
         if name == "p" and stack and stack[-1] == "p":
             stack.pop()
+            where["p"].pop()
+        where[name].append(len(stack))
+        if name in _WALLS:
+            walls.append(len(stack))
         stack.append(name)
         if name == "a":
             link += 1
         elif name in _HEADS:
             head = True
-        if not struck and _struck(name, m[3]):
+        if not struck and _struck(name, attributes):
             struck = len(stack)
     if not struck:
-        parts.append((page[at:], link > 0))
+        parts.append((html.unescape(page[at:]), link > 0))
     close()
     return out
 
