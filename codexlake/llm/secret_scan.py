@@ -7,7 +7,8 @@ candidate is reported only if its scope holds complementary parts: a secret toge
 Base spans always stay and count as secrets (assign, hex) or identifiers (access).
 
 Defined results: a null text is empty and has no spans; repeated rows each get their result; offsets are code points,
-ends exclusive; a match that fails its length is dropped and its characters are not scanned again for that kind.
+ends exclusive; a match that fails its length is dropped and its characters are not scanned again for that kind; texts
+of any length are scanned whole.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -52,10 +54,11 @@ def weak_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     out = [(*m.span(), "identifier") for m in _IDENTIFIER.finditer(text)] if ":" in text or "=" in text else []
     out += [(*m.span(), "endpoint") for m in _ENDPOINT.finditer(text)] if ":" in text or "=" in text else []
     taken = sorted((a, b) for a, b, _ in [*base, *out])
+    reach = list(accumulate((b for _, b in taken), max))  # the furthest end of the spans up to each
     for m in _LOOSE.finditer(text):
         a, b = m.span()
         k = bisect.bisect_left(taken, (b,))  # spans that begin before b
-        if any(c < b and a < d for c, d in taken[max(0, k - 4) : k]):
+        if k and reach[k - 1] > a:
             continue
         if re.search(r"\d", m[0]) and re.search(r"[A-Z]", m[0]) and re.search(r"[a-z]", m[0]) and entropy(m[0]) >= ENTROPY:
             out.append((a, b, "secret"))
