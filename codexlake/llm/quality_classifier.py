@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from ._common import fold, labelled, small_batches, table, written
 
 SAMPLE_ROWS, VOCABULARY, SIZE, NONZERO, REACH = 20_000, 8192, 48, 2, 2
-CACHE = 400_000
+#: Words that a task remembers, and the length from which on a word is hashed anew each time, which bounds their memory.
+CACHE, REMEMBERED = 400_000, 64
 _tokens = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+").findall
 
 
@@ -37,8 +38,9 @@ class Buckets(dict):
         if len(self) > CACHE:
             self.clear()
         shape = "U:" if len(word) > 1 and word.isupper() else ""
-        key = shape + word.lower() if len(word) < 64 else shape + word[:64].lower()
-        self[word] = k = zlib.crc32(key.encode("utf-8", "surrogatepass")) % VOCABULARY
+        k = zlib.crc32((shape + word.lower()).encode("utf-8", "surrogatepass")) % VOCABULARY
+        if len(word) < REMEMBERED:
+            self[word] = k
         return k
 
 
