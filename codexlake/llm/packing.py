@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from ._common import small_batches, table, written
 
 LENGTH, GRAIN, END_ID = 2048, 8, 1
-#: Distinct words whose ids a Python worker remembers.
-CACHE = 600_000
+#: Distinct words whose ids a Python worker remembers, and the length up to which it does, which bounds their memory.
+CACHE, REMEMBERED = 600_000, 64
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -85,7 +85,11 @@ class Tokens:
         for p, (word, tail) in tailed.items():
             known[p] = known[word] + known[tail]
         end = np.array([END_ID], "<u4").tobytes()
-        return [b"".join([*map(known.__getitem__, p), end]) for p in parts]
+        out = [b"".join([*map(known.__getitem__, p), end]) for p in parts]
+        for p in [p for p in new if len(p) > REMEMBERED]:
+            for x in (p, *tailed.get(p, ())):
+                known.pop(x, None)
+        return out
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
