@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +29,13 @@ def _remove(spark: SparkSession, path: str) -> None:
 def scratch(spark: SparkSession) -> str:
     """A folder of this application's own in the shared folder that spark.checkpoint.dir names.
 
-    Where that setting is unset (tests in one process) a temporary folder serves. It is removed when the driver ends.
+    Where that setting is unset the warehouse serves, which is shared too. It is removed when the driver ends.
     """
     app = spark.sparkContext.applicationId
     if app not in _scratch:
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="codexlake-")
+            base = spark.conf.get("spark.sql.warehouse.dir")
         _scratch[app] = f"{base.rstrip('/')}/codexlake-{app}-{uuid.uuid4().hex}"
         atexit.register(_remove, spark, _scratch[app])
     return _scratch[app]
