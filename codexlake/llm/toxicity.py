@@ -1,13 +1,18 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text, normalised by length.
 
 Folding: lower case, compatibility forms, no combining marks, invisible characters removed, look-alike letters of other
-scripts and digit substitutions mapped to one Latin skeleton (i, l, 1 and ! share one letter). The lexicon is learned
-from at most SAMPLE_ROWS labelled documents outside the held-out fold: word beginnings whose share among toxic documents
-is far above that among others. Exception phrases cover hits inside them. A document's score is a logistic function of
-the summed weights of its hits and of their share of its words, fitted on the same rows.
-
-Defined results: a null or empty text has no hits and the score of such texts; equal texts get equal scores; without
-usable labels every score is the prior 0.
+scripts and digit substitutions mapped to one Latin skeleton (i, l, 1 and ! share one letter). Words with letters beyond
+ASCII are matched as they are written too, for in some languages a mark makes another word.
+
+The lexicon is learned from at most SAMPLE_ROWS labelled documents outside the held-out fold. Its roots are word beginnings
+whose share among toxic documents is far above that among others. Longer beginnings and whole words below a root whose
+shares differ from the root's have weights of their own, none if toxic documents hold them no more often than others: so a
+harmless word may share the beginning of abuse. Terms have SHORTEST to LONGEST letters; a longer word is known by its
+beginning. A word counts with its longest term. Exception phrases cover hits inside them. A document's score is a logistic
+function of the summed weights of its hits and of their share of its words, fitted on the same rows.
+
+Defined results: a null or empty text has no hits and the score of such texts; equal texts get equal scores; texts of any
+length are read whole; without usable labels every score is the prior 0.
 """
 
 from __future__ import annotations
@@ -15,7 +20,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -23,13 +30,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import fold, labelled, small_batches, table
+from ._common import fold, forget, labelled, small_batches, table, written
 
 SAMPLE_ROWS = 20_000
-#: A term needs this many toxic documents and this ratio of the (smoothed) shares of both classes.
-LEAST_DOCS, LEAST_RATIO = 3, 40.0
-#: And this log-likelihood ratio (G squared), so that chance finds among very many beginnings stay out.
-LEAST_G2 = 20.0
+#: A root needs this many toxic documents and this ratio of the (smoothed) shares of both classes.
+LEAST_DOCS, LEAST_RATIO = 3, 6.0
+#: And this log-likelihood ratio (G squared), so that chance finds among very many beginnings stay out; a term below a root
+#: needs the other one against the root's shares.
+LEAST_G2, CHILD_G2 = 20.0, 6.6
 SHORTEST, LONGEST = 4, 12
 
 # Look-alikes, each string's letters stand for the letter before it.
@@ -52,8 +60,18 @@ def folded(text: str | None) -> str:
     return _RUNS.sub(r"\1", text.lower().translate(_TABLE))
 
 
-def beginnings(token: str) -> set[str]:
-    return {token[:k] for k in range(SHORTEST, min(len(token), LONGEST) + 1)}
+def terms_of(text: str | None) -> set[str]:
+    """Beginnings and whole words ($ behind them) of the folded text and, where it differs, of the words as written (= before them)."""
+    found = set(_TOKEN.findall(folded(text)))
+    if text and not text.isascii():
+        found.update("=" + w for w in _TOKEN.findall(text.lower()) if not w.isascii())
+    out = set()
+    for w in found:
+        mark = w.startswith("=")
+        out.update(w[:k] for k in range(SHORTEST + mark, min(len(w), LONGEST + mark) + 1))
+        if len(w) <= LONGEST + mark:
+            out.add(w + "$")
+    return out
 
 
 def term_counts(sample: DataFrame) -> DataFrame:
@@ -63,8 +81,7 @@ def term_counts(sample: DataFrame) -> DataFrame:
         counts = (Counter(), Counter())
         for b in batches:
             for text, y in zip(b["t"], b["y"]):
-                tokens = set(_TOKEN.findall(folded(text)))
-                counts[int(y)].update(set().union(*map(beginnings, tokens)) if tokens else ())
+                counts[int(y)].update(terms_of(text))
                 if sum(map(len, counts)) > 400_000:
                     yield pd.DataFrame([(w, k, n) for k in (0, 1) for w, n in counts[k].items()], columns=["term", "y", "n"])
                     counts = (Counter(), Counter())
@@ -74,47 +91,90 @@ def term_counts(sample: DataFrame) -> DataFrame:
     return sample.mapInPandas(run, "term string, y int, n long").groupBy("term").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("neg"))
 
 
-def lexicon(rows: list[tuple[str, int, int]], pos_docs: int, neg_docs: int) -> dict[str, float]:
-    """Term to weight. Of a word's beginnings the longest stays that has (nearly) as many toxic documents as the shorter ones."""
+def g2(p: int, n: int, share: float) -> float:
+    """Twice the log-likelihood ratio of p toxic and n other documents against a share of toxic ones."""
+    share = min(max(share, 1e-9), 1 - 1e-9)
+    return 2 * sum(x * math.log(x / ((p + n) * q)) for x, q in ((p, share), (n, 1 - share)) if x)
+
+
+def roots(rows: list[tuple[str, int, int]], pos_docs: int, neg_docs: int) -> dict[str, tuple[int, int]]:
+    """Term to counts. Of a word's beginnings the longest is a root that has (nearly) as many toxic documents as the shorter ones."""
     share = pos_docs / (pos_docs + neg_docs)
-    g2 = lambda p, n: 2 * (p * math.log(p / ((p + n) * share)) + (n * math.log(n / ((p + n) * (1 - share))) if n else 0))
-    rows = [r for r in rows if g2(r[1], r[2]) >= LEAST_G2]
-    weight = {w: math.log((p + 0.5) / (pos_docs + 1) / ((n + 0.5) / (neg_docs + 1))) for w, p, n in rows}
-    count = {w: p for w, p, _ in rows}
-    good = {w for w in weight if weight[w] >= math.log(LEAST_RATIO)}
-    out: dict[str, float] = {}
+    good = {w: (p, n) for w, p, n in rows if not w.endswith("$") and g2(p, n, share) >= LEAST_G2 and weight(p, n, pos_docs, neg_docs) >= math.log(LEAST_RATIO)}
+    out: dict[str, tuple[int, int]] = {}
     for w in sorted(good, key=lambda w: (len(w), w)):
         if any(w[:k] in out for k in range(SHORTEST, len(w))):
             continue
-        while longer := [x for x in good if len(x) == len(w) + 1 and x.startswith(w) and count[x] >= 0.75 * count[w]]:
-            w = longer[0]
-        out[w] = weight[w]
+        while longer := [x for x in good if len(x) == len(w) + 1 and x.startswith(w) and good[x][0] >= 0.75 * good[w][0]]:
+            w = max(longer, key=lambda x: (good[x][0], x))
+        out[w] = good[w]
+    return out
+
+
+def weight(p: int, n: int, pos_docs: int, neg_docs: int) -> float:
+    return math.log((p + 0.5) / (pos_docs + 1) / ((n + 0.5) / (neg_docs + 1)))
+
+
+def lexicon(found: dict[str, tuple[int, int]], rows: list[tuple[str, int, int]], pos_docs: int, neg_docs: int) -> dict[str, float]:
+    """Term to weight: the roots, and the terms below them (rows) whose shares differ from those of the term above."""
+    counts, out = dict(found), {w: weight(*c, pos_docs, neg_docs) for w, c in found.items()}
+    for w, p, n in sorted(rows, key=lambda r: (len(r[0]), r[0])):
+        above = next((w[:k] for k in range(len(w) - 1, SHORTEST - 1, -1) if w[:k] in counts), None)
+        if above is not None and w not in counts and g2(p, n, (counts[above][0] + 0.5) / (sum(counts[above]) + 1)) >= CHILD_G2:
+            counts[w], out[w] = (p, n), max(0.0, weight(p, n, pos_docs, neg_docs))
     return out
 
 
 class Matcher:
-    """Hits of a lexicon at the beginnings of words of a folded text, outside exception phrases."""
+    """Hits of a lexicon at the beginnings of words of a folded text, and of the text as written, outside exception phrases."""
 
     def __init__(self, terms: dict[str, float]):
-        self.terms = ahocorasick.Automaton()
+        self.folded, self.written = ({}, {})
         for w, x in terms.items():
-            self.terms.add_word(w, (len(w), x))
-        for phrase in EXCEPTIONS:
-            self.terms.add_word(folded(phrase), (len(folded(phrase)), None))
-        self.terms.make_automaton()
+            into = self.written if w.startswith("=") else self.folded
+            key = w.strip("=$")
+            begins, whole = into.get(key, (None, None))
+            into[key] = (begins, x) if w.endswith("$") else (x, whole)
+        self.automata = [self._automaton(t, phrases) for t, phrases in ((self.folded, EXCEPTIONS), (self.written, ()))]
+
+    @staticmethod
+    def _automaton(terms: dict[str, tuple], phrases):
+        out = ahocorasick.Automaton()
+        for w, x in terms.items():
+            out.add_word(w, (len(w), x))
+        for phrase in phrases:
+            out.add_word(folded(phrase), (len(folded(phrase)), None))
+        if len(out):
+            out.make_automaton()
+        return out
+
+    @staticmethod
+    def _found(automaton, flat: str) -> list[tuple[int, int, float]]:
+        best: dict[int, tuple[int, float]] = {}
+        free = []
+        for last, (size, weights) in automaton.iter(flat):
+            start, end = last + 1 - size, last + 1
+            if weights is None:
+                free.append((start, end))
+            elif not start or not flat[start - 1].isalnum():
+                begins, whole = weights
+                x = whole if whole is not None and (end == len(flat) or not flat[end].isalnum()) else begins
+                if x is not None:  # matches of one start come by their length
+                    best[start] = (end, x)
+        hits = [(a, b, x) for a, (b, x) in best.items() if x > 0]
+        if free and hits:
+            # phrases by start; the furthest end up to a start covers a hit or none does
+            free.sort()
+            starts, reach = [a for a, _ in free], list(accumulate((b for _, b in free), max))
+            hits = [h for h in hits if not ((k := bisect_right(starts, h[0])) and reach[k - 1] >= h[1])]
+        return hits
 
     def hits(self, text: str | None) -> tuple[list[tuple[int, int, float]], int]:
-        """(start, end, weight) in the folded text, and its number of words."""
+        """(start, end, weight) in the folded text, then in the text as written, and the number of words."""
         flat = folded(text)
-        found, free = [], []
-        for last, (size, weight) in self.terms.iter(flat):
-            start = last + 1 - size
-            if weight is None:
-                free.append((start, last + 1))
-            elif not start or not flat[start - 1].isalnum():
-                found.append((start, last + 1, weight))
-        if free and found:
-            found = [h for h in found if not any(a <= h[0] and h[1] <= b for a, b in free)]
+        found = self._found(self.automata[0], flat) if self.folded or EXCEPTIONS else []
+        if self.written and text and not text.isascii():
+            found = found + self._found(self.automata[1], text.lower())
         return found, len(flat.split())
 
     def features(self, text: str | None) -> tuple[float, float, int]:
@@ -170,10 +230,15 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model
     pos, neg = classes.get(1, 0), classes.get(0, 0)
     if not pos or not neg:
         return Model({}, None)
-    terms = term_counts(sample).where((F.col("pos") >= min(LEAST_DOCS, pos)) & ((F.col("pos") + 0.5) / (pos + 1) >= LEAST_RATIO * (F.col("neg") + 0.5) / (neg + 1)))
-    found = lexicon([tuple(r) for r in terms.select("term", "pos", "neg").collect()], pos, neg)
-    if not found:
+    terms = written(term_counts(sample).where(F.col("pos") + F.col("neg") >= min(LEAST_DOCS, pos)).select("term", "pos", "neg"))
+    often = terms.where((F.col("pos") >= min(LEAST_DOCS, pos)) & ((F.col("pos") + 0.5) / (pos + 1) >= LEAST_RATIO * (F.col("neg") + 0.5) / (neg + 1)))
+    above = roots([tuple(r) for r in often.collect()], pos, neg)
+    if not above:
         return Model({}, None)
+    begins = F.array(*[F.lit(w) for w in above])
+    below = terms.where(F.exists(begins, lambda w: F.col("term").startswith(w)))
+    found = lexicon(above, [tuple(r) for r in below.collect()], pos, neg)
+    forget(terms)
     got = _features(sample, found).toPandas()
     return Model(found, logistic(got[["f0", "f1"]].to_numpy(), got["y"].to_numpy(float)))
 
