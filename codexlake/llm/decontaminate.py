@@ -5,6 +5,10 @@ and units replaced by typed placeholders. Windows of WINDOW words are hashed on
 case, without placeholders, so that capitals and titles hide no copy), and either kind is joined by hash. The windows of
 the benchmark are broadcast behind a check of their number; beyond it the join is shuffled.
 
+Before that, texts are searched for anchors: of every window of the benchmark the longest pair of neighbouring words that
+are no placeholders (a word, where there is no such pair) stands in every text in which the window stands in either form,
+so only texts with an anchor are canonicalised and hashed.
+
 A window matches literally if its words are equal but for case and punctuation; a document holds an item literally if
 such windows are at least SHARE of the item's. For templates only windows with LEAST_LITERAL words beside the placeholders
 are counted, and slots (the words under placeholders) are compared: every value of the item must stand for one value of
@@ -13,7 +17,8 @@ apart), or over all windows of the document; one of these with SHARE of the wind
 item shorter than a window is one window of all its words, and is looked up anywhere in a document.
 
 Defined results: null or empty texts and items have no windows and match nothing; repeated rows count once for each
-id; an empty table on either side gives no rows.
+id, texts of one id together; matches leaves rows without an id out, clean judges each of them by its text; texts of any
+length are read whole; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ from ._common import table, written
 WINDOW, LEAST_LITERAL, SHARE = 8, 4, 0.25
 #: The benchmark's windows are broadcast up to this many rows (about 40 bytes each), else the join is shuffled.
 BROADCAST_ROWS = 500_000
+#: Anchors up to this number stand in the plan as a set, more are joined.
+ANCHORS = 20_000
 # Units of measure.
 UNITS = "mm cm m km in ft yd mi mg g kg lb oz t ml cl l gal s sec min h hr hrs ms day days week weeks month months year years hour hours minute minutes second seconds meter meters metre metres kilometer kilometers mile miles inch inches foot feet gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres percent usd eur gbp dollar dollars euro euros cent cents kb mb gb tb hz khz mhz ghz w kw kwh v mv a ma j kj cal kcal k c f mph kph"
 
@@ -84,6 +91,31 @@ def hashed(rows: DataFrame, id_col: str, text_col: str, sizes: list[int]) -> Dat
     return split.select("id", "n_words", F.concat(*(window_hashes(form, n) for n in sizes for form in ("canon", "bare"))).alias("hashes"))
 
 
+def anchors(canon: Column, bare: Column, n: Column, usable: Column) -> Column:
+    """Hashes of word pairs, or of a word, one of which is in every text that holds the window in its template or bare form."""
+    plain = F.transform(canon, lambda w: ~w.isin(*_MARKS))
+    rated = lambda fine, words, text: F.struct(fine.alias("fine"), F.length(text).alias("size"), F.xxhash64(*words).alias("hash"))
+    pairs = F.transform(F.when(n > 1, F.sequence(F.lit(0), n - 2)), lambda i: rated(F.get(plain, i) & F.get(plain, i + 1), (F.get(bare, i), F.get(bare, i + 1)), F.concat(F.get(bare, i), F.get(bare, i + 1))))
+    single = F.array_max(F.transform(bare, lambda w, i: rated(F.get(plain, i), (w,), w)))
+    best = F.array_max(pairs)
+    return F.when(n == 1, F.array(single["hash"])).when(best["fine"], F.array(best["hash"])).when(usable, F.array(best["hash"], single["hash"])).otherwise(F.array(best["hash"]))
+
+
+def suspected(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of base (doc_id, text) whose text holds an anchor. wanted: (hash)."""
+    words = F.split(bare(F.col("text")), rf"[\s{_MARKS}]+")
+    # a pair and its first word alone, for anchors may be either
+    hashes = lambda ws: F.concat(F.transform(ws, lambda w, i: F.xxhash64(w, F.get(ws, i + 1))), F.transform(ws, lambda w: F.xxhash64(w)))
+    some = wanted.limit(ANCHORS + 1).collect()
+    if len(some) <= ANCHORS:
+        found = [r["hash"] for r in some]
+        # the words are a variable of the outer lambda, so that they are computed once for a text
+        return base.where(F.exists(F.array(words), lambda ws: F.exists(hashes(ws), lambda h: h.isin(found)))) if found else base.where(F.lit(False))
+    split = base.select("doc_id", words.alias("ws"))
+    known = split.select("doc_id", F.explode_outer(hashes(F.col("ws"))).alias("hash")).join(wanted, "hash", "left_semi").select("doc_id").distinct()
+    return base.join(written(known), "doc_id", "left_semi")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, n: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, kind): the items that documents hold."""
     marks = [F.lit(m) for m in _MARKS]
@@ -97,7 +129,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, n: int
     # a template needs literal words, a literal copy does not
     usable = F.size(plain) >= F.least(F.lit(LEAST_LITERAL), F.col("n"))
     at = (F.col("item_pos"), F.col("n"))
-    known = written(known.select("item_id", "item_pos", "n", F.when(usable, digest("canon", *at)).alias("item_hash"), digest("bare", *at).alias("item_literal"), slots(*at).alias("item_slots")))
+    known = written(known.select("item_id", "item_pos", "n", F.when(usable, digest("canon", *at)).alias("item_hash"), digest("bare", *at).alias("item_literal"), slots(*at).alias("item_slots"), anchors(F.slice("canon", F.col("item_pos") + 1, F.col("n")), F.slice("bare", F.col("item_pos") + 1, F.col("n")), F.col("n"), usable).alias("anchors")))
     total = known.groupBy("item_id").agg(F.countDistinct("item_pos").alias("windows"), F.countDistinct(F.when(F.col("item_hash").isNotNull(), F.col("item_pos"))).alias("template_windows"))
     few = known.count() <= BROADCAST_ROWS
     small = lambda t: F.broadcast(t) if few else t
@@ -106,6 +138,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, n: int
     sizes = sorted(r.n for r in known.select("n").distinct().collect()) or [n]
 
     base = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    base = written(suspected(base, known.select(F.explode("anchors").alias("hash")).where("hash IS NOT NULL").distinct()))
+    known = known.drop("anchors")
     light = hashed(base, "doc_id", "text", sizes).select(F.col("id").alias("doc_id"), "n_words", F.posexplode_outer("hashes").alias("pos", "hash"))
     hit = light.where("hash IS NOT NULL").join(small(keys), "hash", "left_semi")
     per_doc = written(hit.groupBy("doc_id").agg(F.collect_set(F.col("pos") % F.col("n_words")).alias("at")))
@@ -139,8 +173,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, n: int
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item of the benchmark, with all their columns."""
-    return docs.join(matches(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The documents that hold no item of the benchmark, with all their columns; rows without an id are judged by their text."""
+    leaks = written(matches(docs, benchmark).select("doc_id").distinct())
+    kept = docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    nameless = docs.where("doc_id IS NULL AND text IS NOT NULL").select(F.xxhash64("text").alias("doc_id"), "text")
+    if nameless.isEmpty():
+        return kept
+    bad = written(matches(nameless, benchmark).select(F.col("doc_id").alias("_leaked_text")).distinct())
+    named, rest = kept.where("doc_id IS NOT NULL"), kept.where("doc_id IS NULL")
+    return named.unionByName(rest.join(bad, F.xxhash64("text") == F.col("_leaked_text"), "left_anti"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
