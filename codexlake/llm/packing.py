@@ -14,6 +14,7 @@ in any order, the sequences' contents stay valid; an empty table gives no pieces
 from __future__ import annotations
 
 import re
+import string
 import zlib
 
 import numpy as np
@@ -29,9 +30,22 @@ CACHE, REMEMBERED = 600_000, 64
 _tokenizers: dict[str, tuple] = {}
 
 
-#: A run of small Latin letters with ASCII punctuation behind it (no apostrophe): the tokenizer splits there in any case.
+#: A run of small Latin letters; ASCII punctuation behind it (no apostrophe) the tokenizer splits off in any case.
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
-_TAILED = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+_TAIL = "".join(c for c in string.punctuation if c != "'")
+
+
+class Known(dict):
+    """Ids of words as bytes. A missing word is noted and stands for itself until it is learned."""
+
+    def __init__(self):
+        super().__init__()
+        self.new, self.misses = set(), 0
+
+    def __missing__(self, word: str) -> str:
+        self.new.add(word)
+        self.misses += 1
+        return word
 
 
 class Tokens:
@@ -45,15 +59,32 @@ class Tokens:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = Tokenizer.from_file(path), Known()
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _learn(self, new: list[str]) -> None:
-        """Letter runs are one word each, so they go through the tokenizer in long texts and are parted where words end."""
-        runs = [p for p in new if _LETTERS.fullmatch(p)]
-        rest = [p for p in new if not _LETTERS.fullmatch(p)]
+    def _learn(self) -> list[str]:
+        """Learns the noted words and returns those that are too long to be kept.
+
+        Letter runs are one word each, so they go through the tokenizer in long texts and are parted where words end.
+        """
+        new, self.known.new = self.known.new, set()
+        letters, others, tailed = set(), set(), {}
+        for p in new:
+            word = p.rstrip(_TAIL)
+            if not _LETTERS.fullmatch(word) or "<|" in p:
+                others.add(p)
+            elif len(word) == len(p):
+                letters.add(p)
+            else:
+                tail = p[len(word) :]
+                tailed[p] = word, tail
+                if word not in self.known:
+                    letters.add(word)
+                if tail not in self.known:
+                    others.add(tail)
+        runs, rest = list(letters), list(others)
         for i in range(0, len(runs), 2_000):
             some = runs[i : i + 2_000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
@@ -69,26 +100,26 @@ class Tokens:
             some = rest[i : i + 20_000]
             for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 self.known[p] = np.array(e.ids, "<u4").tobytes()
+        for p, (word, tail) in tailed.items():
+            self.known[p] = self.known[word] + self.known[tail]
+        return [p for p in new | letters | others if len(p) > REMEMBERED]
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
-        parts = []
+        known = self.known
+        if len(known) > CACHE:
+            known.clear()
+        rows = []
         for t in texts:
             t = t or ""
             t = t if "<|" in t or "Σ" in t else t.lower()
-            parts.append(t.replace("\n", " ").split(" "))
-        if len(self.known) > CACHE:
-            self.known = {}
-        known = self.known
-        new = set().union(*parts) - known.keys()
-        tailed = {p: m.groups() for p in new if "<|" not in p and (m := _TAILED.fullmatch(p))}
-        self._learn(list((new - tailed.keys()).union(x for pair in tailed.values() for x in pair) - known.keys()))
-        for p, (word, tail) in tailed.items():
-            known[p] = known[word] + known[tail]
+            misses = known.misses
+            ids = list(map(known.__getitem__, t.replace("\n", " ").split(" ")))
+            rows.append((ids, known.misses > misses))
+        long = self._learn()
         end = np.array([END_ID], "<u4").tobytes()
-        out = [b"".join([*map(known.__getitem__, p), end]) for p in parts]
-        for p in [p for p in new if len(p) > REMEMBERED]:
-            for x in (p, *tailed.get(p, ())):
-                known.pop(x, None)
+        out = [b"".join([known[x] if type(x) is str else x for x in ids] if missed else ids) + end for ids, missed in rows]
+        for p in long:
+            known.pop(p, None)
         return out
 
 
