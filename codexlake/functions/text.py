@@ -69,7 +69,8 @@ def collapse_space(text) -> Column:
 def fit_bytes(text, limit: int = 160) -> Column:
     """Cut at a word boundary, with an ellipsis, so that the UTF-8 form has at most limit bytes; short texts stay as they are."""
     text = _c(text)
-    words = F.filter(F.split(text, SPACE), lambda w: w != "")
+    # what stands behind limit + 1 characters cannot come in; a word that is cut there is too long in any case
+    words = F.filter(F.split(F.left(text, F.lit(limit + 1)), SPACE), lambda w: w != "")
     start = F.struct(F.lit("").alias("kept"), F.lit(False).alias("full"))
 
     def add(state: Column, word: Column) -> Column:
@@ -328,3 +329,38 @@ def matches_any(text, needles) -> Column:
 def local_path(url, base: str) -> Column:
     """What stands behind the base of a url; null outside the base."""
     return F.when(_c(url).startswith(base), F.substr(_c(url), F.lit(len(base) + 1)))
+
+
+def relative_path(path, folder) -> Column:
+    """The way from a folder ('' for the top) to a file, both normalized and relative to one top."""
+    parts = lambda c: F.filter(F.split(c, "/"), lambda x: x != "")
+    a, b = parts(_c(path)), parts(_c(folder))
+    common = F.aggregate(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, same: F.struct(F.when(s["on"] & same, s["n"] + 1).otherwise(s["n"]).alias("n"), (s["on"] & same).alias("on")), lambda s: s["n"])
+    return F.concat(F.repeat(F.lit("../"), F.size(b) - common), F.array_join(F.slice(a, common + 1, F.greatest(F.size(a) - common, F.lit(0))), "/"))
+
+
+def rewritten_css(css, more: str = "") -> Column:
+    """A style sheet without embedded fonts and the rule that sets the exported font, with rules of one's own behind it."""
+    plain = F.regexp_replace(_c(css), r"@font-face\s*\{[^}]*\}\s*", "")
+    return F.concat(F.regexp_replace(plain, r'body\s*\{\s*font-family:\s*"FreeSerif"\s*;?\s*\}\s*', ""), F.lit(more))
+
+
+def list_of_changes(*changes: tuple) -> Column:
+    """array<string>: the messages whose conditions hold, in order. changes: (condition or None for always, message column)."""
+    return F.array_compact(F.array(*[_c(m) if when is None else F.when(when, _c(m)) for when, m in changes]))
+
+
+def is_list_of_illustrations(path, text) -> Column:
+    return (basename(path) == "loi.xhtml") | F.coalesce(_c(text).rlike(r'epub:type="[^"]*\bloi\b'), F.lit(False))
+
+
+def shows_only(text, image) -> Column:
+    """Whether a page names an image file and has fewer than 40 characters of text beside its title."""
+    rest = F.regexp_replace(F.regexp_replace(_c(text), r"(?s)<title>.*?</title>", ""), r"(?U)<[^>]+>|\s+", "")
+    return F.contains(_c(text), _c(image)) & (F.length(rest) < 40)
+
+
+def is_large_image(media_type, path, size) -> Column:
+    """Raster images of 50,000 bytes or more, without logos and title pages; pixels are not looked at."""
+    raster = _c(media_type).isin("image/jpeg", "image/png", "image/gif")
+    return raster & ~F.lower(basename(path)).rlike("logo|titlepage") & (_c(size) >= 50_000)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import checkpointed
+
 
 def entry_kind(links: Column) -> Column:
     """struct(kind, href) of an entry's links (array<struct<rel, type, href>>): the last feed link makes it NAV, else an
@@ -21,29 +26,23 @@ def with_page_rows(rows: DataFrame, feeds: DataFrame) -> DataFrame:
     return rows.select("feed", F.col("pos").cast("long").alias("pos"), "kind", "href").unionByName(before).unionByName(after)
 
 
-def reachable(edges: DataFrame, roots: DataFrame, most: int = 1000) -> DataFrame:
+def reachable(edges: DataFrame, roots: DataFrame, most: int | None = None) -> DataFrame:
     """edges: (src, dst); roots: (node). (node, depth) of all nodes reachable, depth the least number of steps.
 
-    One anti-join with the visited nodes for each level; the frontier is checkpointed each time and the visited nodes every eighth,
-    so plans stay short. Where
-    no checkpoint folder is set, as in tests, one is made.
+    One anti-join with the visited nodes for each level, until a level is empty; `most` bounds the depth where that is the
+    question. The frontier is checkpointed each time and the visited nodes every eighth, so plans stay short.
     """
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="codexlake-"))
-    links = edges.where("src IS NOT NULL AND dst IS NOT NULL").distinct().checkpoint()
-    frontier = roots.select("node").distinct().withColumn("depth", F.lit(0)).checkpoint()
+    links = checkpointed(edges.where("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    frontier = checkpointed(roots.select("node").distinct().withColumn("depth", F.lit(0)))
     visited = frontier
-    for level in range(1, most + 1):
+    for level in count(1) if most is None else range(1, most + 1):
         step = links.join(frontier, links["src"] == frontier["node"], "left_semi").select(F.col("dst").alias("node")).distinct()
-        frontier = step.join(visited, "node", "left_anti").withColumn("depth", F.lit(level)).checkpoint()
+        frontier = checkpointed(step.join(visited, "node", "left_anti").withColumn("depth", F.lit(level)))
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)
         if level % 8 == 0:
-            visited = visited.checkpoint()
+            visited = checkpointed(visited)
     return visited
 
 
@@ -75,12 +74,27 @@ def walk(rows: DataFrame, root: str, steps: int = 12) -> DataFrame:
     own = rows.where("pos >= 0 AND pos < 2147483648")
     best = own.groupBy("feed").agg(F.min_by("href", F.when(F.col("kind") == "BOOK", F.col("pos"))).alias("book"), F.min_by("href", F.when(F.col("kind") == "NAV", F.col("pos"))).alias("nav"), F.count_if(F.col("kind") == "BOOK").alias("books"))
     best = best.select("feed", F.when(F.col("books") > 0, "BOOK").otherwise("NAV").alias("kind"), F.when(F.col("books") > 0, F.col("book")).otherwise(F.col("nav")).alias("href"))
-    best.createOrReplaceTempView("_codexlake_walk")
-    return rows.sparkSession.sql(
+    view = f"walk_{uuid.uuid4().hex}"  # of its own, for walks may run at one time
+    best.createOrReplaceTempView(view)
+    out = rows.sparkSession.sql(
         f"""WITH RECURSIVE w(step, feed, kind, href) MAX RECURSION LEVEL {steps + 2} AS (
-          SELECT 1, feed, kind, href FROM _codexlake_walk WHERE feed = :root
+          SELECT 1, feed, kind, href FROM {view} WHERE feed = :root
           UNION ALL
-          SELECT w.step + 1, b.feed, b.kind, b.href FROM w JOIN _codexlake_walk b ON w.kind = 'NAV' AND b.feed = w.href WHERE w.step < {steps})
+          SELECT w.step + 1, b.feed, b.kind, b.href FROM w JOIN {view} b ON w.kind = 'NAV' AND b.feed = w.href WHERE w.step < {steps})
         SELECT step, feed, kind, href FROM w""",
         args={"root": root},
     )
+    rows.sparkSession.catalog.dropTempView(view)  # the plan holds what it needs
+    return out
+
+
+def back_stack(walked: DataFrame, rows: DataFrame) -> DataFrame:
+    """walked: the rows of walk(). (step, feed, back, fine): the way back from the last feed to the root.
+
+    Going back from a step leads to the feed of the step before it, which must list the feed it is left from; the root leads
+    nowhere (back is null).
+    """
+    before = walked.select((F.col("step") + 1).alias("step"), F.col("feed").alias("back"))
+    listed = rows.where("kind = 'NAV'").select(F.col("feed").alias("back"), F.col("href").alias("feed"), F.lit(True).alias("listed")).distinct()
+    out = walked.select("step", "feed").join(before, "step", "left").join(listed, ["back", "feed"], "left")
+    return out.select("step", "feed", "back", F.when(F.col("back").isNull(), F.col("step") == 1).otherwise(F.coalesce("listed", F.lit(False))).alias("fine"))

@@ -22,20 +22,45 @@ def first_seen_groups(rows: DataFrame, key: str, firsts: list[str], pos: str = "
     return rows.groupBy(key).agg(*[F.min_by(c, pos).alias(c) for c in firsts], F.count("*").alias("n"), F.min(pos).alias("first_pos"))
 
 
-def numbered(rows: DataFrame, partition: list[str], order: list, name: str = "rn") -> DataFrame:
-    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+def numbered(rows: DataFrame, partition: list[str], order: list, name: str = "rn", bucket: Column | None = None) -> DataFrame:
+    """Adds the row number within the partition, from 1.
 
-
-def paged(rows: DataFrame, partition: list[str], order: list, size: int = PAGE) -> DataFrame:
-    """Adds page, pages, slot, prev_page and next_page. Partitions are feeds, never the whole table."""
-    w = Window.partitionBy(*partition)
-    out = numbered(rows, partition, order, "_rn").withColumn("_n", F.count("*").over(w))
+    bucket: a coarse key that never falls along the order (a prefix or a quotient of its first column), for partitions that
+    may be too large for one task: rows are numbered within buckets, and a bucket begins behind those before it, whose
+    counts are added up. One more pass, and no task sorts more than a bucket.
+    """
+    if bucket is None:
+        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+    inside = rows.withColumn("_bucket", bucket)
+    ahead = inside.groupBy(*partition, "_bucket").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*partition).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = ahead.withColumn("_ahead", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+    same = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in (*partition, "_bucket")]
+    joined = inside.alias("_l").join(ahead.alias("_r"), same).select("_l.*", "_r._ahead")
+    return joined.withColumn(name, (F.row_number().over(Window.partitionBy(*partition, "_bucket").orderBy(*order)) + F.col("_ahead")).cast("int")).drop("_bucket", "_ahead")
+
+
+def paged(rows: DataFrame, partition: list[str], order: list, size: int = PAGE, bucket: Column | None = None) -> DataFrame:
+    """Adds page, pages, slot, prev_page and next_page. Partitions are feeds; bucket, as in numbered, is for large ones."""
+    if bucket is None:
+        out = numbered(rows, partition, order, "_rn").withColumn("_n", F.count("*").over(Window.partitionBy(*partition)))
+    else:
+        counts = rows.groupBy(*partition).agg(F.count("*").alias("_n"))
+        same = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in partition]
+        out = numbered(rows, partition, order, "_rn", bucket).alias("_l").join(counts.alias("_r"), same).select("_l.*", "_r._n")
     page = (F.floor((F.col("_rn") - 1) / size) + 1).cast("int")
     pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / size)).cast("int")
     out = out.withColumns({"page": page, "pages": pages, "slot": ((F.col("_rn") - 1) % size + 1).cast("int")})
     return out.withColumns({"prev_page": F.when(F.col("page") > 1, F.col("page") - 1), "next_page": F.when(F.col("page") < F.col("pages"), F.col("page") + 1)}).drop("_rn", "_n")
 
 
+def least_items(rows: DataFrame, keys: list[str], value: str, most: int = 10, name: str = "items") -> DataFrame:
+    """(keys, name): the least values of each group in order, null ones left out. Ranks are pruned before the shuffle, and
+    only `most` values of a group are gathered."""
+    ranked = rows.where(F.col(value).isNotNull()).withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(value))).where(F.col("_k") <= most)
+    return ranked.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
+
+
 def feed_pages(feeds: DataFrame, entries: DataFrame, key: str, size: int = PAGE) -> DataFrame:
     """(key, page, pages, n, prev, next) of every page of every feed; a feed without entries has one empty page."""
     counted = feeds.join(entries.groupBy(key).count(), key, "left").withColumn("n", F.coalesce("count", F.lit(0)))

@@ -13,8 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import css_declarations, is_font_path, is_skipped_ref, resolve_path
+from ..sources.archive import well_formed
+from .relational import least_items
 
 MAX_XHTML = 462_000
+#: Files that must be well-formed.
+MARKUP = r"(?i)\.(x?html|opf|ncx|xml|svg)$"
 Tables = dict[str, DataFrame]
 
 
@@ -39,6 +43,7 @@ def archive_rules(t: Tables) -> list[DataFrame]:
         _found(a.where("NOT crc_ok").groupBy("slug").agg(F.min_by("path", "ord").alias("path")), "crc", "path"),
         _found(a.where(F.lower("path").rlike(r"\.x?html$") & (F.octet_length("content") > MAX_XHTML)), "oversize", "path"),
         _found(a.where(is_font_path("path")), "font", "path"),
+        _found(a.where(F.col("path").rlike(MARKUP) & ~well_formed("content")), "not_well_formed", "path"),
         _found(t["books"].where("zip_ok AND opf_path IS NULL"), "container", F.lit(None)),
     ]
 
@@ -105,11 +110,11 @@ def violations(t: Tables) -> DataFrame:
 
 def verdicts(books: DataFrame, found: DataFrame, most: int = 10) -> DataFrame:
     """(slug, n_errors, reasons, release_ready, failed): a hold blocks publication but is no failure."""
-    line = F.concat_ws(": ", "rule", "subject")
-    per_book = found.groupBy("slug").agg(F.count("*").alias("n_errors"), F.array_sort(F.collect_list(line)).alias("errors"))
+    lines = found.select("slug", F.concat_ws(": ", "rule", "subject").alias("line"))
+    per_book = lines.groupBy("slug").agg(F.count("*").alias("n_errors")).join(least_items(lines, ["slug"], "line", most, "errors"), "slug")
     out = books.join(per_book, "slug", "left").withColumn("n_errors", F.coalesce("n_errors", F.lit(0)))
     hold = F.coalesce(F.col("hold"), F.lit("")) != "" if "hold" in books.columns else F.lit(False)
-    reasons = F.when(hold, F.concat(F.lit("hold: "), F.col("hold") if "hold" in books.columns else F.lit(""))).otherwise(F.array_join(F.slice(F.coalesce("errors", F.array().cast("array<string>")), 1, most), "; "))
+    reasons = F.when(hold, F.concat(F.lit("hold: "), F.col("hold") if "hold" in books.columns else F.lit(""))).otherwise(F.array_join(F.coalesce("errors", F.array().cast("array<string>")), "; "))
     return out.select("slug", "n_errors", reasons.alias("reasons"), (~hold & (F.col("n_errors") == 0)).alias("release_ready"), (F.col("n_errors") > 0).alias("failed"))
 
 

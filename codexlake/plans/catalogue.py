@@ -7,7 +7,7 @@ Everything is keyed by feed path; paging is a window over one feed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import collation as K
@@ -18,6 +18,7 @@ ACQ = "application/atom+xml;profile=opds-catalog;kind=acquisition"
 NAV = "application/atom+xml;profile=opds-catalog;kind=navigation"
 RESERVED = ["index", "fiction", "nonfiction"]
 CATEGORIES = ("fiction", "non-fiction")
+ROWS_A_BUCKET = 100_000
 
 
 def is_uk() -> Column:
@@ -67,7 +68,10 @@ def shelf_pages(books: DataFrame, size: int = R.PAGE) -> DataFrame:
     none = F.array().cast("array<int>")
     by_author = F.when(F.col("shelf").isin("genre", "category"), F.col("author_key")).otherwise(none)
     by_title = F.when(F.col("shelf") != "all", F.col("title_key")).otherwise(none)
-    return R.paged(shelves(books), ["path"], [by_author, by_title, lang_order, F.col("pos")], size)
+    # the list of all is as long as the library: buckets of positions there, of first letters on the other shelves
+    leading, everything = F.when(F.col("shelf") == "author", by_title).otherwise(by_author), F.col("shelf") == "all"
+    bucket = F.struct(F.slice(leading, 1, 3).alias("a"), F.when(everything, lang_order).otherwise(0).alias("b"), F.when(everything, F.floor(F.col("pos") / ROWS_A_BUCKET)).otherwise(0).cast("long").alias("c"))
+    return R.paged(shelves(books), ["path"], [by_author, by_title, lang_order, F.col("pos")], size, bucket)
 
 
 def genre_rows(books: DataFrame) -> DataFrame:
@@ -83,8 +87,8 @@ def category_rows(books: DataFrame) -> DataFrame:
 
 
 def author_rows(books: DataFrame) -> DataFrame:
-    g = author_groups(books)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "first_pos"))
+    g = R.numbered(author_groups(books), ["lang"], ["key", "first_pos"], "rank", F.slice("key", 1, 3))
+    rank = F.col("rank")
     word = F.when(is_uk(), X.uk_books_word("n")).otherwise(X.en_books_word("n"))
     folder = F.when(is_uk(), "opds/uk/").otherwise("opds/en/")
     return g.select(F.concat(folder, F.lit("index")).alias("path"), F.lit(1).alias("section"), F.struct(rank.alias("i"), F.col("first_pos").alias("p")).alias("order"), F.concat(F.col("display"), F.lit(" ("), F.col("n").cast("string"), F.lit(")")).alias("title"),
@@ -94,7 +98,8 @@ def author_rows(books: DataFrame) -> DataFrame:
 def navigation(books: DataFrame, size: int = R.PAGE) -> DataFrame:
     """The rows of both index feeds: genres or categories first, then authors, paged."""
     rows = genre_rows(books).unionByName(category_rows(books)).unionByName(author_rows(books))
-    return R.paged(rows, ["path"], ["section", "order"], size).withColumn("title", X.fit_bytes("title")).drop("order")
+    bucket = F.struct("section", F.floor(F.col("order.i") / ROWS_A_BUCKET).alias("i"))
+    return R.paged(rows, ["path"], ["section", "order"], size, bucket).withColumn("title", X.fit_bytes("title")).drop("order")
 
 
 def root_rows(books: DataFrame) -> DataFrame:
@@ -122,24 +127,49 @@ def book_entries(books: DataFrame, base: str) -> DataFrame:
     )
 
 
-def summary_markdown(books: DataFrame) -> DataFrame:
-    """(lang, markdown): a table a language, with a heading wherever the genre or category changes."""
-    group = F.when(is_uk(), X.first_present("genre", F.lit(K.OTHER_GENRE[0]))).otherwise(F.initcap("category"))
-    rows = books.withColumns({"l": F.when(is_uk(), "uk").otherwise("en"), "g": group, "gi": F.when(is_uk(), K.genre_index("genre")).otherwise((F.col("category") != "fiction").cast("int"))})
-    order = ["gi", "g", F.when(is_uk(), F.array_join(F.transform(K.uk_key(K.surname("author")), lambda x: F.lpad(x.cast("string"), 6, "0")), "")).otherwise(F.lower(F.coalesce("author_sort", "author"))), "title", "pos"]
-    starts = R.control_break(rows, ["l"], order, "g")
-    line = F.concat(F.when(F.col("starts"), F.concat(F.lit("\n## "), F.col("g"), F.lit("\n\n"))).otherwise(""), F.lit("- "), F.col("title"), F.lit(", "), F.col("author"), F.lit(" · "), X.human_size("size"), F.lit("\n"))
-    numbered = R.numbered(starts.withColumn("line", line), ["l"], order, "rn")
-    return numbered.groupBy(F.col("l").alias("lang")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "line"))), lambda x: x["line"]), "").alias("markdown"))
+def summary_lines(books: DataFrame) -> DataFrame:
+    """(lang, position, slug, line): the lines of the Markdown summary, a heading wherever the genre or category changes.
+
+    books may have release_ready and reasons, which make the last column. A line a row, so that no value grows with the
+    library; the sink writes them by position.
+    """
+    status = F.when(F.col("release_ready"), "✅").otherwise(F.concat(F.lit("⏸ "), F.left(F.coalesce("reasons", F.lit("")), F.lit(160)))) if "release_ready" in books.columns else F.lit("✅")
+    group = F.when(is_uk(), X.first_present("genre", F.lit(K.OTHER_GENRE[0]))).otherwise(F.when(F.col("category") == CATEGORIES[0], "Fiction").otherwise("Non-fiction"))
+    keys = {
+        "l": F.when(is_uk(), "uk").otherwise("en"), "g": group, "gi": F.when(is_uk(), K.genre_index("genre")).otherwise((F.col("category") != CATEGORIES[0]).cast("int")),
+        "k": F.when(is_uk(), K.uk_key(K.surname("author"))).otherwise(F.transform(F.split(F.lower(X.first_present("author_sort", "author")), ""), lambda c: F.ascii(c))),
+        "kt": F.when(is_uk(), K.uk_key("title")).otherwise(F.transform(F.split("title", ""), lambda c: F.ascii(c))),
+    }
+    rows = books.withColumns(keys)
+    order, bucket = ["gi", "g", "k", "kt", "pos"], F.struct("gi", "g", F.slice("k", 1, 3).alias("k"))
+    numbered = R.numbered(rows, ["l"], order, "position", bucket)
+    # a heading stands before the first line of a genre
+    first = numbered.groupBy("l", "gi", "g").agg(F.min("position").alias("_first"))
+    lined = numbered.join(first, ["l", "gi", "g"])
+    head = F.when(F.col("position") == F.col("_first"), F.concat(F.lit("\n## "), F.col("g"), F.lit("\n\n"))).otherwise("")
+    edition = F.when(is_uk(), X.source_line("source_note", F.col("edition.city"), F.col("edition.publisher"), F.col("edition.year"), "")).otherwise(F.coalesce("subject", F.lit("")))
+    line = F.concat(head, F.lit("| "), F.concat_ws(" | ", F.col("author"), F.col("title"), F.coalesce(edition, F.lit("")), X.human_size(F.coalesce("size", F.lit(0))), status), F.lit(" |\n"))
+    return lined.select(F.col("l").alias("lang"), "position", "slug", line.alias("line"))
+
+
+def summary_totals(books: DataFrame) -> DataFrame:
+    """(lang, published, held, fiction, bytes), by language and overall; books have release_ready; sizes of held books do not count."""
+    ready = F.coalesce("release_ready", F.lit(False))
+    return (
+        books.withColumn("l", F.when(is_uk(), "uk").otherwise("en")).groupingSets([["l"], []], "l")
+        .agg(F.count_if(ready).alias("published"), F.count_if(~ready).alias("held"), F.count_if(ready & (F.col("category") == CATEGORIES[0])).alias("fiction"), F.coalesce(F.sum(F.when(ready, F.col("size"))), F.lit(0)).alias("bytes"))
+        .select(F.coalesce("l", F.lit("all")).alias("lang"), "published", "held", "fiction", "bytes")
+    )
 
 
 def licence_lines(books: DataFrame) -> DataFrame:
-    """(lang, text): one line a book; Ukrainian by genre, surname and title, English by plain code points."""
+    """(lang, position, slug, line): one line a book; Ukrainian by genre, surname and title, English by plain code points."""
     source = X.source_line("source_note", F.col("edition.city"), F.col("edition.publisher"), F.col("edition.year"), "не вказано")
     year = F.coalesce(F.col("author_died").cast("string"), F.lit("?"))
     line = F.when(is_uk(), F.concat(F.lit("«"), F.col("title"), F.lit("», "), F.col("author"), F.lit(" (†"), year, F.lit("). "), source)).otherwise(F.concat(F.col("title"), F.lit(", "), F.col("author"), F.lit(" (d. "), year, F.lit(")")))
-    keys = F.struct(
-        F.when(is_uk(), K.genre_index("genre")).otherwise(0).alias("g"), F.when(is_uk(), K.uk_key(K.surname("author"))).alias("a"), F.when(is_uk(), K.uk_key("title")).alias("b"),
-        F.when(~is_uk(), X.first_present("author_sort", "author")).alias("c"), F.when(~is_uk(), F.col("title")).alias("d"), F.col("pos").alias("p"), line.alias("line"),
-    )
-    return books.groupBy(F.when(is_uk(), "uk").otherwise("en").alias("lang")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(keys)), lambda k: k["line"]), "\n").alias("text"))
+    keys = {
+        "l": F.when(is_uk(), "uk").otherwise("en"), "k1": F.when(is_uk(), K.genre_index("genre")).otherwise(0), "k2": F.when(is_uk(), K.uk_key(K.surname("author"))), "k3": F.when(is_uk(), K.uk_key("title")),
+        "k4": F.when(~is_uk(), X.first_present("author_sort", "author")), "k5": F.when(~is_uk(), F.col("title")),
+    }
+    bucket = F.struct("k1", F.slice("k2", 1, 3).alias("k2"), F.when(F.col("k2").isNull(), F.left("k4", F.lit(3))).alias("k4"))
+    return R.numbered(books.withColumns(keys), ["l"], ["k1", "k2", "k3", "k4", "k5", "pos"], "position", bucket).select(F.col("l").alias("lang"), "position", "slug", line.alias("line"))

@@ -10,7 +10,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Definitions(dict):
-    """name to (function of (spark, sf_dir), SQL or None)."""
+    """name to (function of (spark, sf_dir), SQL or None). golden holds those over rows given in the code: tests, no queries."""
+
+    def __init__(self):
+        super().__init__()
+        self.golden = {}
+
+    def example(self, sql: str):
+        def put(run):
+            self.golden[run.__name__] = (run, sql)
+            return run
+
+        return put
 
     def add(self, sql: str | None = None):
         def put(run):

@@ -31,11 +31,11 @@ def grouping_totals(spark, d):
 
 
 @DEFINED.add("""
-SELECT n_nationkey, strftime(coalesce(max(o_orderdate), TIMESTAMP '2026-01-01'), '%Y-%m-%d') AS latest, coalesce(bool_or(o_orderstatus = 'F'), FALSE) AS failed FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_custkey % 3 = 0
+SELECT n_nationkey, strftime(coalesce(max(o_orderdate), TIMESTAMP '2026-01-01'), '%Y-%m-%d') AS latest, coalesce(bool_or(o_orderstatus = 'F'), FALSE) AS failed FROM nation LEFT JOIN customer ON c_nationkey // 2 * 2 = n_nationkey
 LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1""")
 def latest_with_default(spark, d):
-    thirds = table(spark, d, "customer").where("c_custkey % 3 = 0")
-    per = table(spark, d, "orders").join(thirds, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.max("o_orderdate").alias("m"), F.bool_or(F.col("o_orderstatus") == "F").alias("f"))
+    # customers of odd nations are counted with the one before, so that some nations have none
+    per = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy((F.floor(F.col("c_nationkey") / 2) * 2).cast("int").alias("n_nationkey")).agg(F.max("o_orderdate").alias("m"), F.bool_or(F.col("o_orderstatus") == "F").alias("f"))
     return table(spark, d, "nation").join(per, "n_nationkey", "left").select("n_nationkey", F.date_format(F.coalesce("m", F.lit("2026-01-01").cast("timestamp")), "yyyy-MM-dd").alias("latest"), F.coalesce("f", F.lit(False)).alias("failed"))
 
 
@@ -58,7 +58,7 @@ SELECT o_custkey, array_to_string(list_sort(list(e))[1:10], '; ') AS reasons, le
 FROM (SELECT o_custkey, lpad(o_orderkey::VARCHAR, 8, '0') || ' ' || o_orderpriority AS e FROM orders) GROUP BY 1""")
 def joined_reasons(spark, d):
     e = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit(" "), F.col("o_orderpriority"))
-    g = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(e)).alias("e"))
+    g = R.least_items(table(spark, d, "orders").select("o_custkey", e.alias("e")), ["o_custkey"], "e", 10, "e")
     return g.select("o_custkey", R.reason_text("e").alias("reasons"), F.left(R.reason_text("e"), F.lit(160)).alias("shown"), R.first_titles("e").alias("titles"))
 
 
@@ -73,14 +73,15 @@ def feeds_of_books(spark, d):
 
 
 @DEFINED.add("""
-SELECT r_name, string_agg(CASE WHEN rn = 1 OR seg <> before THEN '## ' || seg || chr(10) ELSE '' END || '- ' || name || chr(10), '' ORDER BY rn) AS markdown
-FROM (SELECT r_name, c_mktsegment AS seg, c_name AS name, row_number() OVER w AS rn, lag(c_mktsegment) OVER w AS before FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WINDOW w AS (PARTITION BY r_name ORDER BY c_mktsegment, c_name, c_custkey)) GROUP BY 1""")
+SELECT r_name, rn::INTEGER AS rn, CASE WHEN rn = 1 OR seg <> before THEN '## ' || seg || chr(10) ELSE '' END || '- ' || name || chr(10) AS line
+FROM (SELECT r_name, c_mktsegment AS seg, c_name AS name, row_number() OVER w AS rn, lag(c_mktsegment) OVER w AS before FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WINDOW w AS (PARTITION BY r_name ORDER BY c_mktsegment, c_name, c_custkey))""")
 def markdown_summary(spark, d):
     rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     order = ["c_mktsegment", "c_name", "c_custkey"]
-    starts = R.numbered(R.control_break(rows, ["r_name"], order, "c_mktsegment"), ["r_name"], order)
-    line = F.concat(F.when(F.col("starts"), F.concat(F.lit("## "), "c_mktsegment", F.lit("\n"))).otherwise(""), F.lit("- "), "c_name", F.lit("\n"))
-    return starts.groupBy("r_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", line.alias("line")))), lambda x: x["line"]), "").alias("markdown"))
+    numbered = R.numbered(rows, ["r_name"], order, "rn", F.concat_ws(" ", "c_mktsegment", F.left("c_name", F.lit(15))))
+    first = numbered.groupBy("r_name", "c_mktsegment").agg(F.min("rn").alias("first"))
+    line = F.concat(F.when(F.col("rn") == F.col("first"), F.concat(F.lit("## "), "c_mktsegment", F.lit("\n"))).otherwise(""), F.lit("- "), "c_name", F.lit("\n"))
+    return numbered.join(first, ["r_name", "c_mktsegment"]).select("r_name", "rn", line.alias("line"))
 
 
 @DEFINED.add("SELECT rpad(p_brand, 10, ' ') || ' ' || lpad(count(*)::VARCHAR, 6, ' ') || ' ' || CASE WHEN count(*) > 80 THEN 'ok' ELSE 'FAIL' END AS line FROM part GROUP BY p_brand")
@@ -121,7 +122,7 @@ _NAVIGATION = [
 ]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_NAVIGATION)}) t(path, slot, title, href, content)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_NAVIGATION)}) t(path, slot, title, href, content)")
 def navigation_rows(spark, d):
     return C.navigation(sample_books(spark)).select("path", "slot", "title", "href", "content")
 
@@ -134,12 +135,12 @@ _SHELVES = [
 ]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_SHELVES)}) t(path, slot, slug)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_SHELVES)}) t(path, slot, slug)")
 def shelf_pages(spark, d):
     return C.shelf_pages(sample_books(spark)).select("path", "slot", "slug")
 
 
-@DEFINED.add("SELECT * FROM (VALUES ('uk', 5, 0, 3490500::BIGINT), ('en', 3, 2, 1950000::BIGINT), ('all', 8, 2, 5440500::BIGINT)) t(lang, n, fiction, bytes)")
+@DEFINED.example("SELECT * FROM (VALUES ('uk', 5, 0, 3490500::BIGINT), ('en', 3, 2, 1950000::BIGINT), ('all', 8, 2, 5440500::BIGINT)) t(lang, n, fiction, bytes)")
 def root_rows(spark, d):
     return C.root_rows(sample_books(spark)).drop("latest").withColumns({"n": F.col("n").cast("int"), "fiction": F.col("fiction").cast("int")})
 
@@ -147,28 +148,7 @@ def root_rows(spark, d):
 _ENTRIES = [("misto", "About Місто Джерело тексту: 1928. Рік смерті автора: 1937.", 1928), ("zakhar", "About Захар Беркут Джерело тексту: 1883. Рік смерті автора: 1916.", 1883), ("kazka", "About Казка Джерело тексту: Вікіджерела. Рік смерті автора: -30.", None), ("eyre", "About Jane Eyre Source: Standard Ebooks (CC0).", 1847)]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_ENTRIES)}) t(slug, content, issued)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_ENTRIES)}) t(slug, content, issued)")
 def book_entries(spark, d):
     wanted = [e[0] for e in _ENTRIES]
     return C.book_entries(sample_books(spark), "https://example.org/").where(F.col("slug").isin(wanted)).select("slug", "content", "issued")
-
-
-_MARKDOWN = [("uk", "\n## Проза\n\n- Місто, Валер’ян Підмогильний · 293 КБ\n- Борислав сміється, Іван Франко · 0 КБ\n- Захар Беркут, Іван Франко · 1.9 МБ\n\n## Драма\n\n- Лісова пісня, Леся Українка · 88 КБ\n\n## Інше\n\n- Казка, Невідомий · 1.0 МБ\n"), ("en", "\n## Fiction\n\n- Jane Eyre, Charlotte Brontë · 781 КБ\n- Villette, Charlotte Brontë · 879 КБ\n\n## Non-fiction\n\n- Meditations, Marcus Aurelius · 244 КБ\n")]
-
-
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_MARKDOWN)}) t(lang, markdown)")
-def catalogue_markdown(spark, d):
-    return C.summary_markdown(sample_books(spark))
-
-
-_LICENCES = [("uk", "«Місто», Валер’ян Підмогильний (†1937). 1928\n«Борислав сміється», Іван Франко (†1916). 1882\n«Захар Беркут», Іван Франко (†1916). 1883\n«Лісова пісня», Леся Українка (†1913). 1911\n«Казка», Невідомий (†-30). не вказано"), ("en", "Meditations, Marcus Aurelius (d. 180)\nJane Eyre, Charlotte Brontë (d. 1855)\nVillette, Charlotte Brontë (d. 1855)")]
-
-
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_LICENCES)}) t(lang, text)")
-def licence_text(spark, d):
-    return C.licence_lines(sample_books(spark))
-
-
-@DEFINED.add("SELECT * FROM (VALUES ('uk', 'franko-ivan', 2)) t(lang, slug, n) WHERE FALSE")
-def author_slug_collisions(spark, d):
-    return C.slug_collisions(C.author_groups(sample_books(spark))).withColumn("n", F.col("n").cast("int"))

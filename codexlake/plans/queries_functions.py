@@ -44,7 +44,7 @@ def escape_html(spark, d):
 _UNESCAPE = [("a &amp; b", "a & b"), ("&lt;p&gt;&copy;", "<p>©"), ("&#x27;&#39;", "''"), ("&eacute;&unknown;", "é&unknown;"), (None, None)]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_UNESCAPE)}) t(escaped, plain)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_UNESCAPE)}) t(escaped, plain)")
 def unescape_html(spark, d):
     return rows_of(spark, "escaped, expected", _UNESCAPE).select("escaped", X.unescape_html("escaped").alias("plain"))
 
@@ -94,7 +94,7 @@ def slugs_and_keys(spark, d):
 _SLUGS = [("Франко Іван", "franko-ivan"), ("Підмогильний Валер’ян", "pidmohylnyi-valerian"), ("Brontë, Charlotte", "bronte-charlotte"), ("Щедрий Вечір!", "shchedryi-vechir"), ("Ærøskøbing", "rskbing"), ("", "")]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_SLUGS)}) t(name, slug)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_SLUGS)}) t(name, slug)")
 def slugs_of_names(spark, d):
     return rows_of(spark, "name, expected", _SLUGS).select("name", K.slugify("name").alias("slug"))
 
@@ -102,7 +102,7 @@ def slugs_of_names(spark, d):
 _NAMES = [("Іван Франко",), ("Леся Українка",), ("Ольга Кобилянська",), ("Марко Вовчок",), ("Михайло Коцюбинський",), ("Єва Ґаль",), ("Юрій Яновський",), ("а б",), ("аб",), ("Гнат",), ("Ґава",), ("Dumas",)]
 
 
-@DEFINED.add(f"""
+@DEFINED.example(f"""
 WITH n AS (SELECT author, CASE WHEN author NOT IN ('Леся Українка', 'Марко Вовчок', 'Панас Мирний', 'Дніпрова Чайка') AND len(string_split(author, ' ')) = 2
              THEN split_part(author, ' ', 2) || ' ' || split_part(author, ' ', 1) ELSE author END AS display,
            CASE WHEN author IN ('Леся Українка', 'Марко Вовчок', 'Панас Мирний', 'Дніпрова Чайка') THEN author ELSE string_split(author, ' ')[-1] END AS surname,
@@ -138,7 +138,7 @@ def genre_slugs(spark, d):
 _PATHS = [("OEBPS/text/c1.xhtml", "../images/a.jpg#x", "OEBPS/images/a.jpg"), ("c1.xhtml", "c2.xhtml#n", "c2.xhtml"), ("a/b/c.xhtml", "../../../x", "../x"), ("a/b.xhtml", "./c//d/.", "a/c/d"), ("a/b.xhtml", "/r/../s", "/s"), ("a/b.xhtml", "..", "."), ("/a.xhtml", "../b", "/b")]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_PATHS)}) t(file, ref, target)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_PATHS)}) t(file, ref, target)")
 def resolved_paths(spark, d):
     return rows_of(spark, "file, ref, expected", _PATHS).select("file", "ref", X.resolve_path("file", "ref").alias("target"))
 
@@ -170,7 +170,7 @@ def heading_texts(spark, d):
 _LABELS = [("Розділ перший ..... 12", "Розділ перший"), ("  I.   Вступ  …… XIV ", "I. Вступ"), ("Без сторінки", "Без сторінки"), ("Повість · · · · 7", "Повість"), ("1984", "1984"), ("Рік 1984", "Рік"), ("", "")]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_LABELS)}) t(raw, label)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_LABELS)}) t(raw, label)")
 def toc_labels(spark, d):
     return rows_of(spark, "raw, expected", _LABELS).select("raw", X.toc_label("raw").alias("label"))
 
@@ -185,7 +185,7 @@ def checker_lines(spark, d):
 _CSS = [("float:right; width:; color:red !important; position:absolute", "float:right; color:red !important", "width:|position:absolute"), ("COLOR : Blue;;", "color:Blue", ""), ("background:url(a", "", "background:url(a"), ("font-family:x; margin:0 !IMPORTANT", "margin:0 !important", "font-family:x"), ("x", "", "x"), ("", "", ""), ("content:'a", "", "content:'a")]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_CSS)}) t(style, clean, dropped)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_CSS)}) t(style, clean, dropped)")
 def css_sanitizer(spark, d):
     return rows_of(spark, "style, a, b", _CSS).select("style", X.css_declarations("style").alias("c")).select("style", "c.clean", F.array_join("c.dropped", "|").alias("dropped"))
 
@@ -228,7 +228,7 @@ def json_fields(spark, d):
 _CHAPTERS = [("Місто/1/III", "c3_x.xhtml", "Місто", "c0_Misto.xhtml", True), ("Захар Беркут", "c9_x.xhtml", "Місто", "c0_Misto.xhtml", False), ("Містоманія", "c2_x.xhtml", "Місто", "c0_Misto.xhtml", False), ("", "c3_Misto_1_III.xhtml", "Місто", "c0_Misto.xhtml", True), (None, "c9_Zahar_Berkut.xhtml", "Місто", "c0_Misto.xhtml", False), ("Дві_книги/а", "c1.xhtml", "Дві книги", "c0.xhtml", True)]
 
 
-@DEFINED.add(f"SELECT title, file, own FROM (VALUES {_literals(_CHAPTERS)}) t(title, file, r, f, own)")
+@DEFINED.example(f"SELECT title, file, own FROM (VALUES {_literals(_CHAPTERS)}) t(title, file, r, f, own)")
 def own_chapters(spark, d):
     return rows_of(spark, "title, file, r, f, expected", _CHAPTERS).select("title", "file", X.is_own_chapter("title", "file", "r", "f").alias("own"))
 
@@ -236,6 +236,6 @@ def own_chapters(spark, d):
 _WRAP = [("a bb ccc dddd", "a bb|ccc|dddd"), ("long-word here", "long-|word|here"), ("unbreakable x", "unbreakable|x"), ("", "")]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_WRAP)}) t(raw, lines)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_WRAP)}) t(raw, lines)")
 def wrapped_titles(spark, d):
     return rows_of(spark, "raw, expected", _WRAP).select("raw", F.array_join(X.wrap_words("raw", 5), "|").alias("lines"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -32,17 +31,18 @@ WITH o AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name
 SELECT c_custkey, 'opds/' || c_nationkey || CASE WHEN (rn - 1) // 50 > 0 THEN '-' || ((rn - 1) // 50 + 1) ELSE '' END || '.xml' AS path, 'N' || CASE WHEN ceil(k / 50) > 1 THEN ' (' || ((rn - 1) // 50 + 1) || '/' || ceil(k / 50)::INTEGER || ')' ELSE '' END AS title,
   ((rn - 1) % 50 + 1)::INTEGER AS slot FROM o""")
 def paged_books(spark, d):
-    out = R.paged(table(spark, d, "customer"), ["c_nationkey"], ["c_name", "c_custkey"])
+    out = R.paged(table(spark, d, "customer"), ["c_nationkey"], ["c_name", "c_custkey"], bucket=F.left("c_name", F.lit(15)))
     return out.select("c_custkey", R.page_path(F.concat(F.lit("opds/"), F.col("c_nationkey").cast("string")), F.col("page")).alias("path"), R.page_title(F.lit("N"), "page", "pages").alias("title"), "slot")
 
 
 @DEFINED.add("""
-WITH n AS (SELECT s_nationkey, n_name, count(s_suppkey) AS n FROM nation LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 3 = 0) ON s_nationkey = n_nationkey AND n_nationkey % 2 = 0 GROUP BY ALL)
+WITH n AS (SELECT n_nationkey, n_name, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON s_nationkey // 2 * 2 = n_nationkey GROUP BY ALL)
 SELECT n_name, n, p AS page, greatest(1, ceil(n / 2))::INTEGER AS pages, CASE WHEN p > 1 THEN p - 1 END::INTEGER AS prev, CASE WHEN p < greatest(1, ceil(n / 2)) THEN p + 1 END::INTEGER AS next
 FROM (SELECT *, unnest(range(1, greatest(1, ceil(n / 2))::INTEGER + 1))::INTEGER AS p FROM n)""")
 def feeds_with_empty_pages(spark, d):
     feeds = table(spark, d, "nation").select("n_name", "n_nationkey")
-    entries = table(spark, d, "supplier").where("s_suppkey % 3 = 0 AND s_nationkey % 2 = 0").select(F.col("s_nationkey").alias("n_nationkey"))
+    # suppliers of odd nations are listed with the nation before, whose own feed is empty
+    entries = table(spark, d, "supplier").select((F.floor(F.col("s_nationkey") / 2) * 2).cast("int").alias("n_nationkey"))
     return R.feed_pages(feeds, entries, "n_nationkey", 2).drop("n_nationkey")
 
 
@@ -88,19 +88,22 @@ def dangling_references(spark, d):
     return R.missing(rows, table(spark, d, "part").select("p_partkey"), [("missing_part", "p_partkey")])
 
 
-@DEFINED.add("SELECT d.doc_id, d.lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 0)")
+@DEFINED.add("SELECT d.doc_id, d.lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = (d.lang <> 'en')::INTEGER)")
 def two_key_antijoin(spark, d):
-    labels = table(spark, d, "labels").where("toxic = 0").select(F.col("doc_id").alias("known"))
-    return R.missing(table(spark, d, "documents").select("doc_id", "lang"), labels, [("doc_id", "known")])
+    """Documents without a row of labels that has both their id and the toxicity that goes with their language here."""
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("known"), F.col("toxic").cast("int").alias("kind"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", (F.col("lang") != "en").cast("int").alias("wanted"))
+    return R.missing(docs, labels, [("doc_id", "known"), ("wanted", "kind")]).drop("wanted")
 
 
-@DEFINED.add("SELECT o_orderkey, c_name, coalesce(c_acctbal, 0.0) AS balance FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) ON o_custkey = c_custkey")
+@DEFINED.add("SELECT o_orderkey, c_name, coalesce(c_acctbal, 0.0) AS balance FROM orders LEFT JOIN customer ON o_custkey * 2 = c_custkey")
 def lookup_with_default(spark, d):
-    even = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_acctbal")
-    return table(spark, d, "orders").join(even, "o_custkey", "left").select("o_orderkey", "c_name", F.coalesce("c_acctbal", F.lit(0.0)).alias("balance"))
+    """Keys are doubled, so that those of the upper half find nobody."""
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), "c_name", "c_acctbal")
+    return table(spark, d, "orders").join(customers, F.col("o_custkey") * 2 == F.col("key"), "left").select("o_orderkey", "c_name", F.coalesce("c_acctbal", F.lit(0.0)).alias("balance"))
 
 
-@DEFINED.add("""
+@DEFINED.example("""
 WITH r(root) AS (VALUES ('a'), ('a/b'), ('a/bc'), ('d')), t(title) AS (VALUES ('a'), ('a/b'), ('a/b/c'), ('a/bc'), ('ab'), ('d/e/f'), ('e'))
 SELECT title, root FROM t JOIN r ON title = root OR starts_with(title, root || '/')""")
 def prefix_join(spark, d):
@@ -123,12 +126,12 @@ def bag_union(spark, d):
 
 
 @DEFINED.add("""
-(SELECT 'stray' AS kind, o_custkey AS id FROM orders EXCEPT SELECT 'stray', c_custkey FROM customer WHERE c_custkey % 3 > 0) UNION ALL
-(SELECT 'both', l_suppkey FROM lineitem INTERSECT SELECT 'both', s_suppkey FROM supplier WHERE s_suppkey % 4 = 0)""")
+(SELECT 'stray' AS kind, o_custkey * 2 AS id FROM orders EXCEPT SELECT 'stray', c_custkey FROM customer) UNION ALL (SELECT 'both', l_suppkey * 2 FROM lineitem INTERSECT SELECT 'both', s_suppkey FROM supplier)""")
 def set_operations(spark, d):
-    stray = table(spark, d, "orders").select(F.lit("stray").alias("kind"), F.col("o_custkey").alias("id")).exceptAll(table(spark, d, "orders").select(F.lit("x").alias("kind"), F.col("o_custkey").alias("id"))).subtract(table(spark, d, "customer").where("c_custkey % 3 > 0").select(F.lit("stray").alias("kind"), F.col("c_custkey").alias("id")))
-    both = table(spark, d, "lineitem").select(F.lit("both").alias("kind"), F.col("l_suppkey").alias("id")).intersect(table(spark, d, "supplier").where("s_suppkey % 4 = 0").select(F.lit("both").alias("kind"), F.col("s_suppkey").alias("id")))
-    return stray.unionByName(both)
+    """Doubled keys: what no customer has, and what suppliers have as well."""
+    rows = lambda name, kind, key: table(spark, d, name).select(F.lit(kind).alias("kind"), key.alias("id"))
+    stray = rows("orders", "stray", F.col("o_custkey") * 2).subtract(rows("customer", "stray", F.col("c_custkey")))
+    return stray.unionByName(rows("lineitem", "both", F.col("l_suppkey") * 2).intersect(rows("supplier", "both", F.col("s_suppkey"))))
 
 
 @DEFINED.add("SELECT o_custkey AS path, max_by(o_orderpriority, o_orderkey) AS content FROM orders GROUP BY 1")
@@ -140,8 +143,12 @@ def last_write_wins(spark, d):
 @DEFINED.add("""
 SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment <> 'BUILDING', lower(c_name) DESC, c_custkey)::INTEGER AS summary_order, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment, c_acctbal, c_custkey)::INTEGER AS licence_order FROM customer""")
 def named_orders(spark, d):
-    w = Window.partitionBy("c_nationkey")
-    return table(spark, d, "customer").select("c_custkey", F.row_number().over(w.orderBy(F.col("c_mktsegment") != "BUILDING", F.lower("c_name").desc(), "c_custkey")).alias("summary_order"), F.row_number().over(w.orderBy("c_mktsegment", "c_acctbal", "c_custkey")).alias("licence_order"))
+    rows = table(spark, d, "customer").select("c_custkey", "c_nationkey", (F.col("c_mktsegment") != "BUILDING").alias("other"), F.lower("c_name").alias("name"), "c_mktsegment", "c_acctbal")
+    # a name from the last to the first: the bucket is the negative of the number at its end, by thousands
+    behind = -F.floor(F.substring_index("name", "#", -1).cast("long") / 1000)
+    first = R.numbered(rows, ["c_nationkey"], ["other", F.desc("name"), "c_custkey"], "summary_order", F.struct("other", behind.alias("b")))
+    both = R.numbered(first, ["c_nationkey"], ["c_mktsegment", "c_acctbal", "c_custkey"], "licence_order", F.struct("c_mktsegment", F.floor(F.col("c_acctbal") / 100).alias("b")))
+    return both.select("c_custkey", "summary_order", "licence_order")
 
 
 _CHUNKS = """
@@ -184,18 +191,19 @@ def _changes(spark, d):
     return table(spark, d, "events").select(e.alias("pos"), (F.col("user_id") % 8).alias("shelf"), F.when(e % 11 > 0, F.when(e % 3 == 0, "click").otherwise(F.col("event_type"))).alias("cached"), F.col("event_type").alias("version"), (e % 5 > 0).alias("refresh"))
 
 
-_EDGES = "SELECT 'p' || p_partkey AS src, 'p' || ((p_partkey * 7 + p_size) % (SELECT count(*) FROM part)) AS dst FROM part UNION ALL SELECT 'p' || p_partkey, 'p' || (p_partkey // 2) FROM part WHERE p_partkey % 3 = 0"
+_EDGES = "SELECT 'p' || p_partkey AS src, 'p' || ((p_partkey * 7 + p_size) % (SELECT count(*) FROM part)) AS dst FROM part UNION ALL SELECT 'p' || p_partkey, 'p' || (p_partkey // 2) FROM part"
 
 
 @DEFINED.add(f"""
-WITH RECURSIVE e AS ({_EDGES}), r(node, depth) AS (SELECT 'p5', 0 UNION SELECT dst, depth + 1 FROM r JOIN e ON src = node WHERE depth < 25)
+WITH RECURSIVE e AS ({_EDGES}), r(node, depth) AS (SELECT 'p5', 0 UNION SELECT dst, depth + 1 FROM r JOIN e ON src = node WHERE depth < 40)
 SELECT node, min(depth)::INTEGER AS depth FROM r GROUP BY node""")
 def reachable_feeds(spark, d):
     part = table(spark, d, "part")
     n = part.agg(F.count("*").alias("n"))
-    a = part.join(n).select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("src"), F.concat(F.lit("p"), ((F.col("p_partkey") * 7 + F.col("p_size")) % F.col("n")).cast("string")).alias("dst"))
-    b = part.where("p_partkey % 3 = 0").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.floor(F.col("p_partkey") / 2).cast("string")).alias("dst"))
-    return graph.reachable(a.unionByName(b), spark.sql("SELECT 'p5' AS node"), 25)
+    name = lambda c: F.concat(F.lit("p"), c.cast("string"))
+    a = part.join(n).select(name(F.col("p_partkey")).alias("src"), name((F.col("p_partkey") * 7 + F.col("p_size")) % F.col("n")).alias("dst"))
+    b = part.select(name(F.col("p_partkey")).alias("src"), name(F.floor(F.col("p_partkey") / 2)).alias("dst"))
+    return graph.reachable(a.unionByName(b), spark.sql("SELECT 'p5' AS node"))
 
 
 _TREE = [("index", 0, "NAV", "uk/index"), ("index", 1, "NAV", "new"), ("index", 2, "NAV", "mixed"), ("mixed", 0, "NAV", "uk/index"), ("mixed", 1, "BOOK", "nioba"), ("new", 0, "BOOK", "misto"), ("uk/index", 0, "NAV", "uk/franko"), ("uk/index", 2147483648, "NAV", "uk/index-2"), ("uk/index-2", -1, "NAV", "uk/index"), ("uk/index-2", 0, "NAV", "uk/lesia"), ("uk/franko", 0, "BOOK", "zakhar"), ("uk/franko", 1, "BOOK", "boryslav"), ("uk/lesia", 0, "BOOK", "lisova")]
@@ -203,17 +211,17 @@ _DEPTHS = [("index", 0), ("uk/index", 1), ("new", 1), ("mixed", 1), ("uk/index-2
 _BOOKS = [("nioba", "mixed"), ("misto", "new"), ("zakhar", "uk/franko"), ("boryslav", "uk/franko"), ("lisova", "uk/lesia")]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_DEPTHS)}) t(feed, depth)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_DEPTHS)}) t(feed, depth)")
 def crawled_feeds(spark, d):
     return graph.crawl(rows_of(spark, "feed, pos, kind, href", _TREE), "index")[0]
 
 
-@DEFINED.add(f"SELECT * FROM (VALUES {_literals(_BOOKS)}) t(href, feeds)")
+@DEFINED.example(f"SELECT * FROM (VALUES {_literals(_BOOKS)}) t(href, feeds)")
 def crawled_books(spark, d):
     return graph.crawl(rows_of(spark, "feed, pos, kind, href", _TREE), "index")[1].withColumn("feeds", F.array_join("feeds", " "))
 
 
-@DEFINED.add("SELECT * FROM (VALUES (1, 'index', 'NAV', 'uk/index'), (2, 'uk/index', 'NAV', 'uk/franko'), (3, 'uk/franko', 'BOOK', 'zakhar')) t(step, feed, kind, href)")
+@DEFINED.example("SELECT * FROM (VALUES (1, 'index', 'NAV', 'uk/index'), (2, 'uk/index', 'NAV', 'uk/franko'), (3, 'uk/franko', 'BOOK', 'zakhar')) t(step, feed, kind, href)")
 def scripted_walk(spark, d):
     return graph.walk(rows_of(spark, "feed, pos, kind, href", _TREE), "index")
 

@@ -131,7 +131,8 @@ def write_archives(archive: DataFrame) -> DataFrame:
                 info = zipfile.ZipInfo(path, STAMP)
                 stored = path == "mimetype" or re.search(r"\.(jpe?g|png|gif|webp)$", path, re.I)
                 info.compress_type = zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED
-                z.writestr(info, bytes(content), compresslevel=None if stored else 9)
+                # a member that could not be read is empty, so that the book can still be written
+                z.writestr(info, bytes(content) if content is not None else b"", compresslevel=None if stored else 9)
         return pd.DataFrame({"slug": [pdf["slug"].iloc[0]], "content": [out.getvalue()]})
 
     # a book's members are together by nature: the zip is one value

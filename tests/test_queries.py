@@ -21,15 +21,25 @@ def sorted_rows(rows):
     return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
-def test_query_equals_sql(spark, duck, name):
-    frame = registry.QUERIES[name](spark, DATA)
+def compare(spark, duck, run, sql):
+    frame = run(spark, DATA)
     columns = sorted(frame.columns)
     got = sorted_rows([tuple(r[c] for c in columns) for r in frame.collect()])
-    cursor = duck.execute(registry.ORACLE_SQL[name])
+    cursor = duck.execute(sql)
     names = [c[0] for c in cursor.description]
     assert sorted(names) == columns
     assert got == sorted_rows([tuple(dict(zip(names, r))[c] for c in columns) for r in cursor.fetchall()])
+    return got
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_query_equals_sql(spark, duck, name):
+    assert compare(spark, duck, registry.QUERIES[name], registry.ORACLE_SQL[name])  # no query is empty on both sides
+
+
+@pytest.mark.parametrize("name", sorted(registry.EXAMPLES))
+def test_example(spark, duck, name):
+    compare(spark, duck, *registry.EXAMPLES[name])
 
 
 def test_entry(spark):
