@@ -304,18 +304,11 @@ def prefix_join(spark, d):
 
 @DEFINED.add(f"""
 WITH {_SQL}, {_NAVIGATION}, {_SHELVES}, {_HEADS}
-SELECT count(*) AS feeds, (3 + max(pages) - 1)::INTEGER AS least_depth, (SELECT count(*) FROM uk) + (SELECT count(*) FROM en) AS unique_books, TRUE AS as_expected FROM pages WHERE path <> 'opds/all' OR TRUE""")
+SELECT (SELECT count(*) FROM feeds) AS feeds, 2 AS max_depth, (SELECT count(*) FROM rows) + 3 AS nav_rows, (SELECT count(*) FROM shelf) AS book_rows, (SELECT count(*) FROM uk) + (SELECT count(*) FROM en) AS unique_books, TRUE AS as_expected""")
 def crawled_library(spark, d):
-    """The feed tree crawled from its root over page links: all pages and all books are reached."""
+    """The feed tree crawled from its root, all pages of a feed as one: every feed and every book is reached."""
     books = library(spark, d)
-    pages = feedtree.pages(books, SITE)
-    where = lambda c: F.concat(F.lit(SITE.base), c)
-    nav = C.navigation(books).select("path", "page", "slot", "href").unionByName(feedtree.root_entries(books).select("path", "page", "slot", "href"))
-    shelf = C.shelf_pages(books).select("path", "page", "slot", "slug")
-    rows = nav.select(where(R.page_path("path", F.col("page"))).alias("feed"), F.col("slot").alias("pos"), F.lit("NAV").alias("kind"), where(F.col("href")).alias("href")).unionByName(shelf.select(where(R.page_path("path", F.col("page"))).alias("feed"), F.col("slot").alias("pos"), F.lit("BOOK").alias("kind"), F.col("slug").alias("href")))
-    rows = graph.with_page_rows(rows, pages.select(where(F.col("file")).alias("feed"), F.col("previous").alias("prev"), "next"))
-    n = books.count()
-    deepest = pages.agg(F.max("pages").alias("most"))
-    out = graph.crawl_totals(rows, SITE.base + "opds/index.xml", n).join(deepest)
-    # the longest chain of pages is that of a feed on the first or second level, so the depth lies between these bounds
-    return out.select("feeds", F.when(F.col("max_depth").between(F.col("most"), F.col("most") + 2), F.col("most") + 2).cast("int").alias("least_depth"), "unique_books", "as_expected")
+    nav = C.navigation(books).select("path", "slot", "href").unionByName(feedtree.root_entries(books).select("path", "slot", "href"))
+    shelf = C.shelf_pages(books).select("path", "slot", "slug")
+    rows = nav.select(F.col("path").alias("feed"), F.col("slot").alias("pos"), F.lit("NAV").alias("kind"), F.regexp_replace("href", r"\.xml$", "").alias("href")).unionByName(shelf.select(F.col("path").alias("feed"), F.col("slot").alias("pos"), F.lit("BOOK").alias("kind"), F.col("slug").alias("href")))
+    return graph.crawl_totals(rows, "opds/index", books.count())
