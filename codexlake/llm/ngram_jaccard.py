@@ -412,3 +412,22 @@ def one_of_each(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10, id_col
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = {
+    "op1_ngram_jaccard": r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END)) AS s FROM w),
+c AS MATERIALIZED (SELECT s, min(doc_id) AS c, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+e AS MATERIALIZED (SELECT c, n, unnest(s) AS g FROM c),
+l AS MATERIALIZED (
+  SELECT a.c AS a, b.c AS b FROM e a JOIN e b ON a.g = b.g AND a.c < b.c AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+x AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, least) AS (SELECT c, c FROM c UNION SELECT x.b, r.least FROM r JOIN x ON x.a = r.node WHERE r.least < x.b),
+k AS (SELECT c.s, min(r.least) AS component_id FROM c JOIN r ON r.node = c.c GROUP BY c.s)
+SELECT d.doc_id, coalesce(len(d.s), 0)::BIGINT AS n_shingles, coalesce(k.component_id, d.doc_id) AS component_id FROM s d LEFT JOIN k ON k.s = d.s"""
+}

@@ -166,7 +166,9 @@ class Network:
 def fitted(vectors: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
     """vectors: (id, x). Trained on at most `rows` labelled rows, none of the held-out quarter; a fifth of them calibrates."""
     known = labelled(labels, "quality", rows, 4, 2)
-    got = vectors.join(F.broadcast(known), vectors["id"] == known["doc_id"]).select("id", "x", "y").toPandas().sort_values("id", kind="stable")
+    # rows that share an id are one row here, the least of them, or the sample would have no bound
+    found = vectors.join(F.broadcast(known), vectors["id"] == known["doc_id"]).groupBy("id").agg(F.min("x").alias("x"), F.min("y").alias("y"))
+    got = found.toPandas().sort_values("id", kind="stable")
     y = (got["y"].to_numpy() > 0).astype(float)
     if len(y) < 20 or y.min() == y.max():
         return None

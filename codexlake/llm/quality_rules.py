@@ -148,7 +148,9 @@ def fit(x: np.ndarray, y: np.ndarray, signs: np.ndarray, rounds: int = 60, depth
 def fitted(stats: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Trees | None:
     """The trees of at most `rows` labelled documents outside the held-out quarter; None if they have one class only."""
     known = labelled(labels, "quality", rows, 4, 2)
-    got = stats.join(F.broadcast(known), stats["id"] == known["doc_id"]).select(*RATIOS, "y").toPandas()
+    # rows that share an id are one row here, the least of them, or the sample would have no bound
+    found = stats.join(F.broadcast(known), stats["id"] == known["doc_id"]).groupBy("id").agg(F.min(F.struct(*RATIOS, "y")).alias("row"))
+    got = found.select("id", "row.*").toPandas().sort_values("id", kind="stable")
     y = got["y"].to_numpy(float)
     if len(y) < 20 or y.min() == y.max():
         return None

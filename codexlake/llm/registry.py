@@ -16,4 +16,4 @@ QUERIES = {
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_toxicity": toxicity.op10_toxicity,
 }
-ORACLE_SQL = {**chat_format.ORACLE_SQL, **url_filters.ORACLE_SQL}
+ORACLE_SQL = {**ngram_jaccard.ORACLE_SQL, **chat_format.ORACLE_SQL, **url_filters.ORACLE_SQL}
