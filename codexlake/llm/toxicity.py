@@ -225,8 +225,12 @@ def _features(docs: DataFrame, terms: dict[str, float], coefficients=None) -> Da
 def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Learns from at most `rows` labelled rows, none of the held-out fifth."""
     known = labelled(labels, "toxic", rows, 5, 0)
-    # rows that share an id are one row here, that of the least text, or the sample would have no bound
-    found = docs.select(F.col("doc_id"), F.col("text").alias("t")).join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("t").alias("t"), F.min("y").alias("y"))
+    found = docs.select(F.col("doc_id"), F.col("text").alias("t")).join(F.broadcast(known), "doc_id")
+    # rows that share an id are one row here, that of the least text, or the sample would have no bound; only their texts move
+    shared = written(docs.select("doc_id").join(F.broadcast(known), "doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), rows)
+    if not shared.isEmpty():
+        one = found.join(F.broadcast(shared), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("t").alias("t"), F.min("y").alias("y"))
+        found = found.join(F.broadcast(shared), "doc_id", "left_anti").unionByName(one)
     sample = found.select("t", F.when(F.col("y") > 0, 1).otherwise(0).alias("y"))
     classes = dict(known.groupBy((F.col("y") > 0).cast("int").alias("y")).count().collect())
     pos, neg = classes.get(1, 0), classes.get(0, 0)
