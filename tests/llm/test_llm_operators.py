@@ -652,3 +652,15 @@ def test_held_out_figures(spark, name, label, least_auc, least_right):
         right = np.mean([r.predicted == r[label] for r in rows])
         print(name, "accuracy", round(float(right), 4))
         assert right >= least_right
+
+
+def test_shared_ids_are_one_row_of_the_toxicity_sample(spark):
+    random.seed(4)
+    calm = [" ".join(random.choices("quiet words about rivers and hills".split(), k=25)) for _ in range(100)]
+    docs = frame(spark, calm + [c + " you grobnik" for c in calm[:40]])
+    labels = spark.createDataFrame([(k, int(k >= 100)) for k in range(140)], "doc_id long, toxic int")
+    # a longer text follows its beginning, so the least text of an id stays what it was
+    many = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" ~")))).unionByName(docs)
+    a, b = toxicity.fitted(docs, labels), toxicity.fitted(many, labels)
+    assert a.terms and a.terms == b.terms
+    np.testing.assert_allclose(a.coefficients, b.coefficients, rtol=1e-6)
