@@ -116,7 +116,8 @@ def library_summary(spark, d):
 
 
 def _with_verdicts(books):
-    held = (F.col("lang") == "uk") & F.coalesce(F.floor(F.col("size") / 100_000) % 7 == 0, F.lit(False))
+    # a Ukrainian book's size is p_size * 100,000 + p_partkey, and the key may well pass 100,000
+    held = (F.col("lang") == "uk") & F.coalesce((F.col("size") - F.col("pos")) % 700_000 <= 0, F.lit(False))
     return books.withColumns({"release_ready": ~held, "reasons": F.when(held, "rights")})
 
 
