@@ -37,7 +37,7 @@ def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, registry.QUERIES[name], registry.ORACLE_SQL[name])  # no query is empty on both sides
 
 
-@pytest.mark.parametrize("name", ["library_summary"])
+@pytest.mark.parametrize("name", ["library_summary", "library_summary_totals"])
 def test_query_equals_sql_with_large_keys(spark, tmp_path, name):
     """Keys of part beyond 100,000: they must not run into the size class that a book's size holds."""
     con = duckdb.connect()
