@@ -20,7 +20,9 @@ Equal sets are one class from the start. Links between classes are found in two
 2. The rest: groups that still hold several components are joined with themselves across components only, behind a size
    test and a lower bound of the difference from parity sketches. A set leaves the groups of more than CROWD members (those
    of passages that many texts share) if its other segments still sum to more than U, for then it meets its partners
-   there; other sets stay. Nothing is skipped, so no link between components is lost.
+   there; other sets stay. Two sets may share hundreds of signatures: each carries the EARLIER ones right before, in one
+   order for all sets, and where the two have one of these in common they have met before. At the first signature that
+   they share they cannot have one, so nothing is skipped and no link between components is lost.
 
 Classes are known by 64 bits of a sum over their set and its size; for 10**9 different texts a mix-up of two classes has a
 chance of about 3 %, of two signatures it only costs a comparison.
@@ -38,7 +40,7 @@ import logging
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import forget, small_batches, table, written
@@ -51,6 +53,8 @@ STAR_ROUNDS = 3
 LEADERS = 6
 #: Members of a signature group from which on sets leave it that meet their partners elsewhere.
 CROWD = 32
+#: Signatures right before its own that a row carries, by which two sets see that they have met in another group.
+EARLIER = 8
 #: Elements of a strong signature, and independent partitions for sets that have too few of them.
 LEAST, LEVELS = 2, 8
 #: Cost of a false partner, in signatures: it falls to the sketches inside the join, a signature is shuffled.
@@ -312,6 +316,22 @@ def without_crowds(rest: DataFrame, classes: DataFrame) -> DataFrame:
     return rest.join(inside.join(leave, ["f1", "parity", "level"]).select("sig", "f1"), ["sig", "f1"], "left_anti")
 
 
+def with_earlier(rest: DataFrame) -> DataFrame:
+    """rest: (sig, f1, ..). Adds the set's signatures right before this one, in the order of schemes and levels, then values."""
+    before = Window.partitionBy("f1").orderBy(F.col("sig").bitwiseAND(F.lit(15)), "sig").rowsBetween(-EARLIER, -1)
+    return rest.withColumn("earlier", F.collect_list("sig").over(before))
+
+
+def meetings(rest: DataFrame, threshold: Threshold) -> DataFrame:
+    """(a, b) of sets in one signature group and in different components whose sizes and sketches allow a link.
+
+    rest: (sig, f1, c, n, s0.., earlier). Of the groups in which two sets meet the first counts, and few of the others.
+    """
+    a, b = (rest.select("sig", *[F.col(x).alias(f"{x}_{side}") for x in ("f1", "c", "n", *[f"s{k}" for k in range(SKETCH)], "earlier")]) for side in "ab")
+    first = ~F.arrays_overlap("earlier_a", "earlier_b")
+    return a.join(b, "sig").where((F.col("c_a") < F.col("c_b")) & near_enough(threshold) & first).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b"))
+
+
 def components_of_rows(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str, link_ids: bool) -> DataFrame:
     """(id, th, n, component, component_id) of every row; component is null without an id or words."""
     threshold = Threshold(num, den)
@@ -355,9 +375,8 @@ def components_of_rows(docs: DataFrame, n: int, num: int, den: int, id_col: str,
             pairs = written(plausible(proposed), m)
         else:
             met = written(without_crowds(written(open_.select("sig", "f1", "c"), m), classes), m)
-            rest = written(met.join(known, "f1"))
-            a, b = (rest.select("sig", *[F.col(x).alias(f"{x}_{side}") for x in ("f1", "c", "n", *words)]) for side in "ab")
-            pairs = written(a.join(b, "sig").where((F.col("c_a") < F.col("c_b")) & near_enough(threshold)).select(F.col("f1_a").alias("a"), F.col("f1_b").alias("b")).distinct())
+            rest = written(with_earlier(met.join(known, "f1")))
+            pairs = written(meetings(rest, threshold).distinct())
             forget(met, rest)
         loose, pairs = pairs, written(sketched(pairs, classes, threshold), pairs.count())
         n_pairs = pairs.count()

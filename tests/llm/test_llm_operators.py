@@ -126,6 +126,21 @@ def test_crowds_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 3, 4, 5)
 
 
+def test_sets_meet_in_few_of_their_groups(spark):
+    """Of sets that share many signatures every pair is made, and not once a signature."""
+    random.seed(12)
+    words = [f"s{k}" for k in range(ngram_jaccard.SKETCH)]
+    shared, rows = [16 * random.randrange(2**50) + k % 4 for k in range(400)], []
+    for f1 in range(30):
+        own = random.sample(shared, 170) if f1 < 25 else random.sample(shared, 1)
+        rows += [(sig, f1, f1 // 2, 100 + (f1 == 3) * 100, *[0] * len(words)) for sig in own]
+    want = {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[2] < y[2] and x[3] == y[3]}
+    rest = spark.createDataFrame(rows, "sig long, f1 long, c long, n long, " + ", ".join(f"{w} long" for w in words))
+    got = [tuple(r) for r in ngram_jaccard.meetings(ngram_jaccard.with_earlier(rest), ngram_jaccard.Threshold(4, 5)).collect()]
+    assert set(got) == want and len(want) > 200
+    assert len(got) < 4 * len(want)  # once a signature: some 70
+
+
 def test_shared_ids_are_one_node(spark):
     one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
     rows = [(5, one), (5, two), (3, two), (9, one), (9, one), (8, three), (8, ""), (None, one), (2**60 + 1, three)]
