@@ -30,22 +30,21 @@ CACHE, REMEMBERED = 600_000, 64
 _tokenizers: dict[str, tuple] = {}
 
 
-#: A run of small Latin letters; ASCII punctuation behind it (no apostrophe) the tokenizer splits off in any case.
-_LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
-_TAIL = "".join(c for c in string.punctuation if c != "'")
+#: Lines of small Latin letters with ASCII punctuation behind them (no apostrophe), which the tokenizer splits off in any case.
+_LINES = re.compile(r"^([a-zß-öø-ÿ]+)([" + re.escape("".join(c for c in string.punctuation if c != "'")) + r"]*)$", re.M)
+_END = np.array([END_ID], "<u4").tobytes()
 
 
 class Known(dict):
-    """Ids of words as bytes. A missing word is noted and stands for itself until it is learned."""
+    """Ids of words as bytes. A missing word is noted with a place that is filled when it is learned."""
 
     def __init__(self):
         super().__init__()
-        self.new, self.misses = set(), 0
+        self.new: dict[str, bytearray] = {}
 
-    def __missing__(self, word: str) -> str:
-        self.new.add(word)
-        self.misses += 1
-        return word
+    def __missing__(self, word: str) -> bytearray:
+        self[word] = self.new[word] = place = bytearray()
+        return place
 
 
 class Tokens:
@@ -65,25 +64,23 @@ class Tokens:
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _learn(self) -> list[str]:
-        """Learns the noted words and returns those that are too long to be kept.
+        """Learns the noted words, fills their places and returns those that are too long to be kept.
 
         Letter runs are one word each, so they go through the tokenizer in long texts and are parted where words end.
         """
-        new, self.known.new = self.known.new, set()
-        letters, others, tailed = set(), set(), {}
-        for p in new:
-            word = p.rstrip(_TAIL)
-            if not _LETTERS.fullmatch(word) or "<|" in p:
-                others.add(p)
-            elif len(word) == len(p):
-                letters.add(p)
-            else:
-                tail = p[len(word) :]
-                tailed[p] = word, tail
-                if word not in self.known:
-                    letters.add(word)
-                if tail not in self.known:
-                    others.add(tail)
+        new, self.known.new = self.known.new, {}
+        letters, tailed = {}, {}
+        for word, tail in _LINES.findall("\n".join(new)):  # no word has a line feed
+            if not tail:
+                letters[word] = None
+            elif "<|" not in tail:
+                tailed[word + tail] = word, tail
+        others = dict.fromkeys(p for p in new if p not in letters and p not in tailed)
+        for word, tail in tailed.values():
+            if word not in self.known:
+                letters[word] = None
+            if tail not in self.known:
+                others[tail] = None
         runs, rest = list(letters), list(others)
         for i in range(0, len(runs), 2_000):
             some = runs[i : i + 2_000]
@@ -102,7 +99,9 @@ class Tokens:
                 self.known[p] = np.array(e.ids, "<u4").tobytes()
         for p, (word, tail) in tailed.items():
             self.known[p] = self.known[word] + self.known[tail]
-        return [p for p in new | letters | others if len(p) > REMEMBERED]
+        for p, place in new.items():
+            place += self.known[p]
+        return [p for some in (new, letters, others) for p in some if len(p) > REMEMBERED]
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         known = self.known
@@ -112,12 +111,9 @@ class Tokens:
         for t in texts:
             t = t or ""
             t = t if "<|" in t or "Σ" in t else t.lower()
-            misses = known.misses
-            ids = list(map(known.__getitem__, t.replace("\n", " ").split(" ")))
-            rows.append((ids, known.misses > misses))
+            rows.append(list(map(known.__getitem__, t.replace("\n", " ").split(" "))))
         long = self._learn()
-        end = np.array([END_ID], "<u4").tobytes()
-        out = [b"".join([known[x] if type(x) is str else x for x in ids] if missed else ids) + end for ids, missed in rows]
+        out = [b"".join(ids) + _END for ids in rows]
         for p in long:
             known.pop(p, None)
         return out

@@ -126,6 +126,18 @@ def test_crowds_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 3, 4, 5)
 
 
+def test_tokens_are_looked_up_once():
+    """A new word has one place, which all its texts hold and which is filled when the word is learned."""
+    known = packing.Known()
+    assert known["word,"] is known["word,"] and list(known.new) == ["word,"]
+    tokens = packing.Tokens(packing.public_path())
+    texts = ["word, word, Word word.<|x word", "word,", None, "", " \n ", "don't a\rb naïve--", "word" * 40 + " " + "word" * 40 + "."]
+    plain = lambda t: b"".join(int(i).to_bytes(4, "little") for i in [*tokens.tokenizer.encode(t or "", add_special_tokens=False).ids, packing.END_ID])
+    for _ in range(2):
+        assert tokens.batch(texts) == [plain(t) for t in texts]
+    assert not tokens.known.new
+
+
 def test_sets_meet_in_few_of_their_groups(spark):
     """Of sets that share many signatures every pair is made, and not once a signature."""
     random.seed(12)
