@@ -155,11 +155,14 @@ def summary_lines(books: DataFrame) -> DataFrame:
 def summary_totals(books: DataFrame) -> DataFrame:
     """(lang, published, held, fiction, bytes), by language and overall; books have release_ready; sizes of held books do not count."""
     ready = F.coalesce("release_ready", F.lit(False))
-    return (
+    totals = (
         books.withColumn("l", F.when(is_uk(), "uk").otherwise("en")).groupingSets([["l"], []], "l")
         .agg(F.count_if(ready).alias("published"), F.count_if(~ready).alias("held"), F.count_if(ready & (F.col("category") == CATEGORIES[0])).alias("fiction"), F.coalesce(F.sum(F.when(ready, F.col("size"))), F.lit(0)).alias("bytes"))
         .select(F.coalesce("l", F.lit("all")).alias("lang"), "published", "held", "fiction", "bytes")
     )
+    # grouping sets make no row of nothing, not even the one of all languages
+    zeros = books.sparkSession.range(1).select(F.lit("all").alias("lang"), *(F.lit(0).cast("long").alias(c) for c in totals.columns[1:]))
+    return totals.unionByName(zeros).groupBy("lang").agg(*(F.sum(c).alias(c) for c in totals.columns[1:]))
 
 
 def licence_lines(books: DataFrame) -> DataFrame:
